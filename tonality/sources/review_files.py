@@ -22,13 +22,23 @@ def drop_header(lines: DataFrame, header: str, col: str = "value") -> DataFrame:
     return lines.filter(~F.col(col).eqNullSafe(F.lit(header)))
 
 
+# Field separator for one-column review files: a character that never occurs
+# in text, so a comma in an unquoted review stays part of the review.
+SINGLE_COLUMN_SEP = "\u0001"
+
+
 def csv_reader(reader, schema=STREAM_REVIEW, header: bool = True):
-    """CSV options shared by the batch and the streaming reader."""
-    return (reader.schema(schema)
-            .option("header", header)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", True))
+    """CSV options shared by the batch and the streaming reader: header line,
+    RFC-4180 quoting (``""`` inside quotes), quoted line breaks. A one-column
+    schema reads each record whole (see ``SINGLE_COLUMN_SEP``)."""
+    reader = (reader.schema(schema)
+              .option("header", header)
+              .option("quote", '"')
+              .option("escape", '"')
+              .option("multiLine", True))
+    if len(schema.fields) == 1:
+        reader = reader.option("sep", SINGLE_COLUMN_SEP)
+    return reader
 
 
 def read_review_csv(spark: SparkSession, path: str, schema=STREAM_REVIEW,
