@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonality.fixed import IDF_MIN_DOC_FREQ
+from tonality.functions.arrays import explode_values
 from tonality.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, salted_join
 
 TFIDF_SALT_BUCKETS = 16
@@ -21,13 +22,13 @@ TFIDF_SALT_BUCKETS = 16
 
 def term_frequency(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
     """(doc, term, tf): occurrences of each term in each document."""
-    terms = df.select(F.col(doc_col), F.explode(F.col(tokens_col)).alias("term"))
+    terms = explode_values(df, F.col(tokens_col), [doc_col], "term")
     return terms.groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequency(df: DataFrame, tokens_col: str) -> DataFrame:
     """(term, df): number of documents (rows) containing each term."""
-    terms = df.select(F.explode(F.array_distinct(F.col(tokens_col))).alias("term"))
+    terms = explode_values(df, F.array_distinct(F.col(tokens_col)), [], "term")
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 

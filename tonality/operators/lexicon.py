@@ -35,6 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonality.functions.arrays import explode_values, explode_with_position
 from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREMENT,
                             CONTRAST_WORD, EXCLAMATION_MAX, EXCLAMATION_WEIGHT,
                             NEGATION_SCALAR, NEGATION_SUFFIX, NEUTRAL_BAND,
@@ -42,7 +43,7 @@ from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREME
 from tonality.functions.text import (count_char, is_all_caps, sentence_words,
                                      split_sentences, strip_punctuation)
 from tonality.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
-from tonality.schemas import BOOSTERS, LEXICON, NEGATORS
+from tonality.schemas import BOOSTERS, LEXICON, NEGATORS  # noqa: F401
 
 LOOKBACK = 3
 SALT_BUCKETS = 16
@@ -50,20 +51,22 @@ SALT_BUCKETS = 16
 
 def word_roles(lexicon: DataFrame, boosters: DataFrame | None = None,
                negators: DataFrame | None = None) -> DataFrame:
-    """One row per lower-case word: ``w, valence, incr, neg``.
-
-    A word listed twice keeps its largest value."""
-    spark = lexicon.sparkSession
-    boosters = boosters if boosters is not None else spark.createDataFrame([], BOOSTERS)
-    negators = negators if negators is not None else spark.createDataFrame([], NEGATORS)
-    lex = (lexicon.select(F.lower("token").alias("w"), F.col("valence").cast("double"))
-           .groupBy("w").agg(F.max("valence").alias("valence")))
-    boo = (boosters.select(F.lower("token").alias("w"), F.col("incr").cast("double"))
-           .groupBy("w").agg(F.max("incr").alias("incr")))
-    neg = negators.select(F.lower("token").alias("w")).distinct().withColumn("neg", F.lit(True))
-    roles = lex.join(boo, "w", "full").join(neg, "w", "full")
-    return roles.filter(F.col("w").isNotNull()).select(
-        "w", "valence", "incr", F.coalesce("neg", F.lit(False)).alias("neg"))
+    """One row per lower-case word: ``w, valence, incr, neg`` (one union, one
+    ``groupBy``). A word listed twice keeps its largest value."""
+    parts = [lexicon.select(F.lower("token").alias("w"), F.col("valence").cast("double").alias("valence"),
+                            F.lit(None).cast("double").alias("incr"), F.lit(False).alias("neg"))]
+    if boosters is not None:
+        parts.append(boosters.select(F.lower("token").alias("w"), F.lit(None).cast("double").alias("valence"),
+                                     F.col("incr").cast("double").alias("incr"), F.lit(False).alias("neg")))
+    if negators is not None:
+        parts.append(negators.select(F.lower("token").alias("w"), F.lit(None).cast("double").alias("valence"),
+                                     F.lit(None).cast("double").alias("incr"), F.lit(True).alias("neg")))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return (rows.filter(F.col("w").isNotNull()).groupBy("w")
+            .agg(F.max("valence").alias("valence"), F.max("incr").alias("incr"),
+                 F.max("neg").alias("neg")))
 
 
 def punctuation_emphasis(sentence: Column) -> Column:
@@ -96,11 +99,14 @@ def _anchor_item() -> Column:
 
 
 def sentence_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, thash, sid, sentence): ``posexplode`` of the sentence split."""
-    return df.select(
-        F.col(id_col).alias("doc_id"),
-        F.xxhash64(F.col(text_col)).alias("thash"),
-        F.posexplode(split_sentences(F.col(text_col))).alias("sid", "sentence"))
+    """(id, thash, sid, sentence): ``posexplode`` of the sentence split.
+
+    Per-row values are projected before the generator, so no sentence row
+    carries (or re-hashes) the whole text."""
+    rows = df.select(F.col(id_col).alias("doc_id"),
+                     F.xxhash64(F.col(text_col)).alias("thash"),
+                     split_sentences(F.col(text_col)).alias("sentences"))
+    return explode_with_position(rows, F.col("sentences"), ["doc_id", "thash"], "sid", "sentence")
 
 
 def _word_rows(sentences: DataFrame) -> DataFrame:
@@ -116,12 +122,16 @@ def _word_rows(sentences: DataFrame) -> DataFrame:
     n_tok = F.size("lw")
     n_caps = F.size(F.filter("caps", lambda c: c))
     items = F.concat(F.array(_anchor_item()), _word_items(F.col("words"), F.col("lw"), F.col("caps")))
-    exploded = per_sentence.select(
+    # Sentence-level values first, then the generator: word rows carry only
+    # scalars, never the sentence's arrays.
+    per_sentence = per_sentence.select(
         "doc_id", "thash", "sid", "punct",
         n_tok.alias("n_tok"),
         ((n_caps > 0) & (n_caps < n_tok)).alias("cap_diff"),
         (F.array_position("lw", CONTRAST_WORD) - 1).alias("but_at"),
-        F.explode(items).alias("it"))
+        items.alias("items"))
+    exploded = explode_values(per_sentence, F.col("items"),
+                              ["doc_id", "thash", "sid", "punct", "n_tok", "cap_diff", "but_at"], "it")
     return exploded.select("doc_id", "thash", "sid", "punct", "n_tok", "cap_diff",
                            "but_at", "it.*")
 

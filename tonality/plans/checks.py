@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonality.fixed import NLTK_ENGLISH_STOP_WORDS
+from tonality.functions.arrays import explode_values, explode_with_position
 from tonality.functions.labels import binary, label, three_class
 from tonality.functions.text import (default_stop_words, remove_stop_words,
                                      split_sentences, tokenize)
@@ -32,7 +33,7 @@ from tonality.operators.metrics import (binary_counts, confusion_matrix, micro_m
 from tonality.operators.split import random_split, split_by_key, split_part
 from tonality.plans.classifier import (ablation, build_classifier, fit, predict, run_report,
                                        train_and_predict, trainable)
-from tonality.session import scratch_path, table
+from tonality.session import scratch_path, table, text_table
 from tonality.sources.models import load_model, save_model
 from tonality.sources.review_files import drop_header, unquote, write_review_csv
 from tonality.sources.reviews import (project_reviews, read_reviews_json, standin_reviews,
@@ -58,7 +59,7 @@ def fixture_roles(spark: SparkSession) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return text_table(spark, sf, "documents").select("doc_id", "text")
 
 
 def kept_tokens(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,17 +141,16 @@ def quoted_line_fixture(text, turn):
 
 
 def q_unquote_lines(spark, sf):
-    conv = table(spark, sf, "conversations")
+    conv = text_table(spark, sf, "conversations")
     line = quoted_line_fixture(F.col("text"), F.col("turn"))
     return conv.select("conv_id", "turn", unquote(line).alias("review"))
 
 
 def q_drop_header(spark, sf):
-    conv = table(spark, sf, "conversations")
+    conv = text_table(spark, sf, "conversations")
     # Each conversation is read as one file: a header line before turn 0.
-    lines = conv.select("conv_id", "turn", F.explode(
-        F.when(F.col("turn") == 0, F.array(F.lit(HEADER), F.col("text")))
-        .otherwise(F.array(F.col("text")))).alias("value"))
+    lines = explode_values(conv, F.when(F.col("turn") == 0, F.array(F.lit(HEADER), F.col("text")))
+                           .otherwise(F.array(F.col("text"))), ["conv_id", "turn"], "value")
     return drop_header(lines, HEADER)
 
 
@@ -196,7 +196,7 @@ def q_split_random(spark, sf):
 # ---------------------------------------------------------------- text features
 
 def _exploded(docs: DataFrame, arr) -> DataFrame:
-    return (docs.select("doc_id", F.posexplode(arr).alias("pos", "token"))
+    return (explode_with_position(docs, arr, ["doc_id"], "pos", "token")
             .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token"))
 
 
@@ -250,7 +250,7 @@ def q_tfidf_terms(spark, sf):
 
 def q_sentences_exploded(spark, sf):
     docs = documents(spark, sf)
-    return (docs.select("doc_id", F.posexplode(split_sentences(F.col("text"))).alias("sid", "sentence"))
+    return (explode_with_position(docs, split_sentences(F.col("text")), ["doc_id"], "sid", "sentence")
             .select("doc_id", F.col("sid").cast("bigint").alias("sid"), "sentence"))
 
 

@@ -64,3 +64,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df, min_partitions: int | None = None):
+    """Parallelism floor for a freshly read table.
+
+    A scan with fewer splits than the session has task slots (a small file,
+    one row group) would run all per-row text work in that many tasks; such
+    an input is repartitioned round-robin to the slot count. A large input
+    already has at least that many splits and is returned as is, so no
+    shuffle is added at scale. Call it on a plain scan: counting the splits
+    of a scan only lists files.
+    """
+    target = min_partitions or spark_parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def spark_parallelism(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str):
+    """A text-bearing table (``documents``, ``conversations``) with the
+    parallelism floor of ``spread``."""
+    return spread(table(spark, sf_dir, name))

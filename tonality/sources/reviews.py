@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonality.schemas import REVIEW
-from tonality.session import table
+from tonality.session import table, text_table
 
 REVIEW_COLUMNS = ("review_id", "text", "stars")
 
@@ -55,7 +55,7 @@ def standin_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     otherwise a sort-merge join whose hash partitioning on ``doc_id`` later
     per-document aggregations reuse.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     joined = docs.join(labels, "doc_id")
     return joined.select(
