@@ -16,9 +16,12 @@ def test_term_space_idf_equals_mllib_idf(spark):
     htf = HashingTF(inputCol="tokens", outputCol="h", numFeatures=1 << 18)
     model = IDF(inputCol="h", outputCol="x", minDocFreq=5).fit(htf.transform(toks))
     weights = model.idf.toArray()
+    # bucket of every term: HashingTF over one-term documents (one Spark job)
+    terms = spark.createDataFrame([([t],) for t in idf], "tokens array<string>")
+    one = HashingTF(inputCol="tokens", outputCol="h", numFeatures=1 << 18).transform(terms)
     buckets = {}
-    for term in idf:
-        buckets.setdefault(htf.indexOf(term), []).append(term)
+    for r in one.collect():
+        buckets.setdefault(int(r.h.indices[0]), []).append(r.tokens[0])
     checked = 0
     for b, terms in buckets.items():
         if len(terms) == 1:
