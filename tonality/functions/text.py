@@ -22,8 +22,6 @@ from tonality.fixed import PUNCTUATION
 SENTENCE_MARK = "\u0001"
 # A run of sentence-final marks followed by whitespace ends a sentence.
 SENTENCE_END = r"([.!?]+)\s+"
-# Regex character class of the ASCII punctuation set.
-PUNCT_CLASS = "[" + "".join("\\" + c if c in "[]\\^-" else c for c in PUNCTUATION) + "]"
 
 
 def tokenize(text: Column) -> Column:
@@ -71,7 +69,7 @@ def sentence_words(sentence: Column) -> Column:
 def strip_punctuation(word: Column) -> Column:
     """Edge punctuation removed, unless that leaves two characters or fewer
     (which keeps emoticons such as ``:)`` whole)."""
-    stripped = F.regexp_replace(word, f"^{PUNCT_CLASS}+|{PUNCT_CLASS}+$", "")
+    stripped = F.trim(word, F.lit(PUNCTUATION))
     return F.when(F.length(stripped) <= 2, word).otherwise(stripped)
 
 

@@ -13,9 +13,9 @@ from __future__ import annotations
 from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREMENT,
                             EXCLAMATION_MAX, EXCLAMATION_WEIGHT, NEGATION_SCALAR,
                             NEGATION_SUFFIX, NEUTRAL_BAND, NLTK_ENGLISH_STOP_WORDS,
-                            NORMALIZATION_ALPHA, QUESTION_MANY, QUESTION_WEIGHT,
-                            SPLIT_SEED, SPLIT_WEIGHTS)
-from tonality.functions.text import PUNCT_CLASS, default_stop_words
+                            NORMALIZATION_ALPHA, PUNCTUATION, QUESTION_MANY,
+                            QUESTION_WEIGHT, SPLIT_SEED, SPLIT_WEIGHTS)
+from tonality.functions.text import default_stop_words
 from tonality.plans.checks import (FIXTURE_BOOSTERS, FIXTURE_LEXICON, FIXTURE_NEGATORS,
                                    HEADER, METRIC_DIGITS)
 from tonality.sources.scores import SCORE_LINE
@@ -89,8 +89,7 @@ def _roles_values() -> str:
 
 
 def _strip(x: str) -> str:
-    cls = PUNCT_CLASS.replace("'", "''")
-    stripped = f"regexp_replace({x}, '^{cls}+|{cls}+$', '', 'g')"
+    stripped = f"trim({x}, {lit(PUNCTUATION)})"
     return f"CASE WHEN length({stripped}) <= 2 THEN {x} ELSE {stripped} END"
 
 
