@@ -10,6 +10,7 @@ coefficient matrix small.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 
@@ -57,13 +58,31 @@ def trainable(df: DataFrame, text_col: str = "text", label_col: str = "label") -
     return df.filter(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit with the training rows persisted (memory, spilling to disk): IDF
-    and every optimizer pass reread them instead of recomputing the scan,
-    split and join; lost blocks are recomputed from lineage."""
+# Each optimizer pass aggregates one dense gradient (classes x features) per
+# partition, so a partition should hold enough rows to pay for it.
+MIN_ROWS_PER_FIT_PARTITION = 20_000
+
+
+def fit_partitions(train: DataFrame) -> DataFrame:
+    """``train`` persisted (memory, spilling to disk) and, when it has fewer
+    rows than its partitions can use, coalesced (narrow, no shuffle) to one
+    partition per ``MIN_ROWS_PER_FIT_PARTITION`` rows. Large training sets
+    keep their partitioning."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.count()
+    target = max(1, math.ceil(rows / MIN_ROWS_PER_FIT_PARTITION))
+    if target < train.rdd.getNumPartitions():
+        return train.coalesce(target)
+    return train
+
+
+def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit on persisted training rows (``fit_partitions``): IDF and every
+    optimizer pass reread them instead of recomputing scan, split and join;
+    lost blocks are recomputed from the deterministic lineage."""
+    data = fit_partitions(train)
     try:
-        return pipeline.fit(train)
+        return pipeline.fit(data)
     finally:
         train.unpersist()
 
@@ -106,8 +125,8 @@ def ablation(spark: SparkSession, scored: DataFrame, key: str = "review_id",
     and the same rows. Two rows: ``variant, accuracy, total, precision,
     recall, f1, start, end, total_time``."""
     rows = trainable(scored).filter(F.col(lexicon_col).isNotNull())
-    train, test = split_by_key(rows, key)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train_rows, test = split_by_key(rows, key)
+    train = fit_partitions(train_rows)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     reports = []
     try:
@@ -118,6 +137,6 @@ def ablation(spark: SparkSession, scored: DataFrame, key: str = "review_id",
             rep = run_report(spark, pred, start).withColumn("variant", F.lit(variant))
             reports.append(rep.select("variant", *RUN_REPORT.names))
     finally:
-        train.unpersist()
+        train_rows.unpersist()
         test.unpersist()
     return reports[0].unionByName(reports[1])
