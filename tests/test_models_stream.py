@@ -17,7 +17,7 @@ from conftest import SF_SMALL
 SMALL = dict(num_features=1 << 12)
 
 
-def test_chain_stages_and_lexicon_variant():
+def test_chain_stages_and_lexicon_variant(spark):
     plain = build_classifier()
     lex = build_classifier(lexicon_col="vader")
     assert [type(s).__name__ for s in plain.getStages()] == [
