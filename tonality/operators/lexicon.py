@@ -211,6 +211,10 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
 
     Rows with null text have no sentence. ``roles`` is ``word_roles(...)``."""
     _, small = broadcast_if_small(roles, max_broadcast_rows)
+    if small:
+        # Proven small: kept in memory once, so the four broadcast lookups
+        # below do not each recompute it.
+        roles = roles.cache()
     words = _word_rows(sentence_table(df, id_col, text_col))
     first = _lookup(words, roles.select("w", "valence", "incr", F.lit(None).cast("boolean").alias("neg")),
                     "w", "r0", small)
