@@ -42,11 +42,14 @@ from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREME
                             NORMALIZATION_ALPHA, QUESTION_MANY, QUESTION_WEIGHT)
 from tonality.functions.text import (count_char, is_all_caps, sentence_words,
                                      split_sentences, strip_punctuation)
-from tonality.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from tonality.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, row_count_at_most
 from tonality.schemas import BOOSTERS, LEXICON, NEGATORS  # noqa: F401
 
 LOOKBACK = 3
 SALT_BUCKETS = 16
+# Scoring words up to this many become an in-row hash set (InSet) that picks
+# the words worth a row; larger lexicons take the row-per-word path.
+MAX_INLINE_WORDS = 100_000
 
 
 def word_roles(lexicon: DataFrame, boosters: DataFrame | None = None,
@@ -78,15 +81,25 @@ def punctuation_emphasis(sentence: Column) -> Column:
     return bangs * EXCLAMATION_WEIGHT + question
 
 
-def _word_items(words: Column, lower: Column, caps: Column) -> Column:
-    """Per word: position, lower form, caps flag and the three preceding words."""
-    def item(w, i):
-        fields = [i.alias("pos"), w.alias("w"), F.get(caps, i).alias("up")]
-        for d in range(1, LOOKBACK + 1):
-            fields.append(F.get(lower, i - d).alias(f"p{d}"))
-            fields.append(F.get(caps, i - d).alias(f"u{d}"))
-        return F.struct(*fields)
-    return F.transform(lower, item)
+def _item(i: Column, lower: Column, caps: Column) -> Column:
+    """Word at position ``i``: position, lower form, caps flag and the three
+    preceding words with their caps flags."""
+    fields = [i.alias("pos"), F.get(lower, i).alias("w"), F.get(caps, i).alias("up")]
+    for d in range(1, LOOKBACK + 1):
+        fields.append(F.get(lower, i - d).alias(f"p{d}"))
+        fields.append(F.get(caps, i - d).alias(f"u{d}"))
+    return F.struct(*fields)
+
+
+def _word_items(lower: Column, caps: Column, scoring_words: list[str] | None) -> Column:
+    """Items for every word, or, given the (proven small) set of words that
+    carry a valence, only for those: a hashed membership test picks their
+    positions, so structs, rows and lookups are made for hits only."""
+    if scoring_words is None:
+        return F.transform(lower, lambda w, i: _item(i, lower, caps))
+    positions = F.filter(F.transform(lower, lambda w, i: F.when(w.isin(scoring_words), i)),
+                         lambda i: i.isNotNull())
+    return F.transform(positions, lambda i: _item(i, lower, caps))
 
 
 def _anchor_item() -> Column:
@@ -109,7 +122,7 @@ def sentence_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return explode_with_position(rows, F.col("sentences"), ["doc_id", "thash"], "sid", "sentence")
 
 
-def _word_rows(sentences: DataFrame) -> DataFrame:
+def _word_rows(sentences: DataFrame, scoring_words: list[str] | None = None) -> DataFrame:
     raw = sentence_words(F.col("sentence"))
     per_sentence = sentences.select(
         "doc_id", "thash", "sid",
@@ -121,7 +134,7 @@ def _word_rows(sentences: DataFrame) -> DataFrame:
         F.transform("words", is_all_caps).alias("caps"))
     n_tok = F.size("lw")
     n_caps = F.size(F.filter("caps", lambda c: c))
-    items = F.concat(F.array(_anchor_item()), _word_items(F.col("words"), F.col("lw"), F.col("caps")))
+    items = F.concat(F.array(_anchor_item()), _word_items(F.col("lw"), F.col("caps"), scoring_words))
     # Sentence-level values first, then the generator: word rows carry only
     # scalars, never the sentence's arrays.
     per_sentence = per_sentence.select(
@@ -211,11 +224,15 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
 
     Rows with null text have no sentence. ``roles`` is ``word_roles(...)``."""
     _, small = broadcast_if_small(roles, max_broadcast_rows)
+    scoring_words = None
     if small:
         # Proven small: kept in memory once, so the four broadcast lookups
         # below do not each recompute it.
         roles = roles.cache()
-    words = _word_rows(sentence_table(df, id_col, text_col))
+        scoring = roles.filter(F.col("valence").isNotNull() & F.col("incr").isNull()).select("w")
+        if row_count_at_most(scoring, MAX_INLINE_WORDS):
+            scoring_words = sorted(r.w for r in scoring.collect())
+    words = _word_rows(sentence_table(df, id_col, text_col), scoring_words)
     first = _lookup(words, roles.select("w", "valence", "incr", F.lit(None).cast("boolean").alias("neg")),
                     "w", "r0", small)
     hits = first.filter((F.col("pos") < 0) | (F.col("r0v").isNotNull() & F.col("r0b").isNull()))
