@@ -63,28 +63,43 @@ def trainable(df: DataFrame, text_col: str = "text", label_col: str = "label") -
 MIN_ROWS_PER_FIT_PARTITION = 20_000
 
 
-def fit_partitions(train: DataFrame) -> DataFrame:
-    """``train`` persisted (memory, spilling to disk) and, when it has fewer
+def fit_partitions(rows: DataFrame) -> DataFrame:
+    """``rows`` persisted (memory, spilling to disk) and, when it has fewer
     rows than its partitions can use, coalesced (narrow, no shuffle) to one
-    partition per ``MIN_ROWS_PER_FIT_PARTITION`` rows. Large training sets
-    keep their partitioning."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = train.count()
-    target = max(1, math.ceil(rows / MIN_ROWS_PER_FIT_PARTITION))
-    if target < train.rdd.getNumPartitions():
-        return train.coalesce(target)
-    return train
+    partition per ``MIN_ROWS_PER_FIT_PARTITION`` rows. Large inputs keep
+    their partitioning."""
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    n = rows.count()
+    target = max(1, math.ceil(n / MIN_ROWS_PER_FIT_PARTITION))
+    if target < rows.rdd.getNumPartitions():
+        return rows.coalesce(target)
+    return rows
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit on persisted training rows (``fit_partitions``): IDF and every
-    optimizer pass reread them instead of recomputing scan, split and join;
-    lost blocks are recomputed from the deterministic lineage."""
-    data = fit_partitions(train)
+    """Fit a chain whose last stage is the classifier.
+
+    The feature stages (tokenizer ... IDF [, assembler]) are fitted on the
+    training rows with their own partitioning; the feature vectors are then
+    computed once and persisted, and only the optimizer's input is
+    size-partitioned (``fit_partitions``). Lost blocks are recomputed from the
+    deterministic lineage (the key split is a pure function of the key)."""
+    stages = pipeline.getStages()
+    classifier = stages[-1]
+    owned = not train.is_cached          # release only what this call persisted
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    features = None
     try:
-        return pipeline.fit(data)
+        feature_model = Pipeline(stages=stages[:-1]).fit(train)
+        cols = [classifier.getLabelCol(), classifier.getFeaturesCol()]
+        features = fit_partitions(feature_model.transform(train).select(*cols))
+        fitted = classifier.fit(features)
+        return PipelineModel(stages=[*feature_model.stages, fitted])
     finally:
-        train.unpersist()
+        if features is not None:
+            features.unpersist()
+        if owned:
+            train.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("label",)) -> DataFrame:
@@ -126,13 +141,13 @@ def ablation(spark: SparkSession, scored: DataFrame, key: str = "review_id",
     recall, f1, start, end, total_time``."""
     rows = trainable(scored).filter(F.col(lexicon_col).isNotNull())
     train_rows, test = split_by_key(rows, key)
-    train = fit_partitions(train_rows)
+    train = train_rows.persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     reports = []
     try:
         for variant, col in (("no_lexicon", None), ("lexicon", lexicon_col)):
             start = time.time()
-            model = build_classifier(lexicon_col=col, **params).fit(train)
+            model = fit(build_classifier(lexicon_col=col, **params), train)
             pred = model.transform(test).select("label", "prediction")
             rep = run_report(spark, pred, start).withColumn("variant", F.lit(variant))
             reports.append(rep.select("variant", *RUN_REPORT.names))
