@@ -153,3 +153,13 @@ def test_salted_path_equals_broadcast_path(spark, roles):
     a = {tuple(r) for r in document_scores(docs, roles).collect()}
     b = {tuple(r) for r in document_scores(docs, roles, max_broadcast_rows=1).collect()}
     assert a == b
+
+
+def test_left_score_join_fills_missing(spark, roles):
+    from tonality.operators.joins import join_scores
+    reviews = spark.createDataFrame([("a", "this."), ("b", None)], "review_id string, text string")
+    scores = document_scores(reviews, roles, id_col="review_id").select("review_id", "vader")
+    inner = {r.review_id for r in join_scores(reviews, scores).collect()}
+    left = {r.review_id: r.vader for r in
+            join_scores(reviews, scores, how="left", fill={"vader": 0.0}).collect()}
+    assert inner == {"a"} and left["b"] == 0.0 and left["a"] > 0

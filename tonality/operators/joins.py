@@ -34,10 +34,13 @@ def salted_join(big: DataFrame, small: DataFrame, on: str, spread_by: str,
 
 
 def join_scores(reviews: DataFrame, scores: DataFrame, key: str = "review_id",
-                how: str = "inner") -> DataFrame:
+                how: str = "inner", fill: dict | None = None) -> DataFrame:
     """Reviews with their per-review score: one key column out, reviews'
     columns first. Inner by default (a review without a score drops out);
-    ``how="left"`` keeps it with a null score. Scores hold one row per key,
-    so the join is many-to-one; Catalyst/AQE choose broadcast or sort-merge
-    and AQE splits a hot review key."""
-    return reviews.join(scores, key, how)
+    ``how="left"`` keeps it, with ``fill`` (e.g. ``{"vader": 0.0}``) for the
+    missing score. Scores hold one row per key, so the join is many-to-one:
+    in a sort-merge join a hot review key streams on the reviews side against
+    one buffered score row, and AQE splits its partition; Catalyst/AQE pick a
+    broadcast when the scores are under the runtime size threshold."""
+    joined = reviews.join(scores, key, how)
+    return joined.fillna(fill) if fill else joined
