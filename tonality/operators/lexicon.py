@@ -40,8 +40,7 @@ from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREME
                             CONTRAST_WORD, EXCLAMATION_MAX, EXCLAMATION_WEIGHT,
                             NEGATION_SCALAR, NEGATION_SUFFIX, NEUTRAL_BAND,
                             NORMALIZATION_ALPHA, QUESTION_MANY, QUESTION_WEIGHT)
-from tonality.functions.text import (count_char, is_all_caps, sentence_words,
-                                     split_sentences, strip_punctuation)
+from tonality.functions.text import count_char, split_sentences, strip_punctuation
 from tonality.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, row_count_at_most
 from tonality.schemas import BOOSTERS, LEXICON, NEGATORS  # noqa: F401
 
@@ -123,15 +122,19 @@ def sentence_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _word_rows(sentences: DataFrame, scoring_words: list[str] | None = None) -> DataFrame:
-    raw = sentence_words(F.col("sentence"))
+    # Sentences from split_sentences are trimmed and never hold an empty
+    # word, so a plain split on whitespace runs gives the words.
+    raw = F.split(F.col("sentence"), r"\s+")
     per_sentence = sentences.select(
         "doc_id", "thash", "sid",
         punctuation_emphasis(F.col("sentence")).alias("punct"),
         F.transform(raw, strip_punctuation).alias("words"))
     per_sentence = per_sentence.select(
-        "doc_id", "thash", "sid", "punct",
-        F.transform("words", F.lower).alias("lw"),
-        F.transform("words", is_all_caps).alias("caps"))
+        "doc_id", "thash", "sid", "punct", "words",
+        F.transform("words", F.lower).alias("lw"))
+    per_sentence = per_sentence.select(
+        "doc_id", "thash", "sid", "punct", "lw",
+        F.zip_with("words", "lw", lambda w, lo: (F.upper(w) == w) & (lo != w)).alias("caps"))
     n_tok = F.size("lw")
     n_caps = F.size(F.filter("caps", lambda c: c))
     items = F.concat(F.array(_anchor_item()), _word_items(F.col("lw"), F.col("caps"), scoring_words))
