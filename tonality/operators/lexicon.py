@@ -41,7 +41,7 @@ from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREME
                             NEGATION_SCALAR, NEGATION_SUFFIX, NEUTRAL_BAND,
                             NORMALIZATION_ALPHA, QUESTION_MANY, QUESTION_WEIGHT)
 from tonality.functions.text import count_char, split_sentences, strip_punctuation
-from tonality.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, row_count_at_most
+from tonality.operators.joins import MAX_BROADCAST_ROWS, row_count_at_most
 from tonality.schemas import BOOSTERS, LEXICON, NEGATORS  # noqa: F401
 
 LOOKBACK = 3
@@ -226,15 +226,20 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
     """Per sentence: ``id, sid, compound, pos, neu, neg``.
 
     Rows with null text have no sentence. ``roles`` is ``word_roles(...)``."""
-    _, small = broadcast_if_small(roles, max_broadcast_rows)
+    # One bounded read answers both size questions for the usual small table.
+    head = roles.limit(MAX_INLINE_WORDS + 1).collect()
     scoring_words = None
+    if len(head) <= MAX_INLINE_WORDS:
+        small = len(head) <= max_broadcast_rows
+        if small:
+            scoring_words = sorted(r.w for r in head
+                                   if r.valence is not None and r.incr is None)
+    else:
+        small = row_count_at_most(roles, max_broadcast_rows)
     if small:
         # Proven small: kept in memory once, so the four broadcast lookups
         # below do not each recompute it.
         roles = roles.cache()
-        scoring = roles.filter(F.col("valence").isNotNull() & F.col("incr").isNull()).select("w")
-        if row_count_at_most(scoring, MAX_INLINE_WORDS):
-            scoring_words = sorted(r.w for r in scoring.collect())
     words = _word_rows(sentence_table(df, id_col, text_col), scoring_words)
     first = _lookup(words, roles.select("w", "valence", "incr", F.lit(None).cast("boolean").alias("neg")),
                     "w", "r0", small)
