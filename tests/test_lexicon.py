@@ -142,10 +142,21 @@ def test_exact_duplicate_rows_average_like_one(spark, roles):
     assert a.vader == b.vader and b.n == 2 * a.n
 
 
-def test_roles_table_is_broadcast(spark, roles):
+def test_small_tables_score_in_row_without_joins(spark, roles):
     df = spark.createDataFrame([("a", "this is it")], "doc_id string, text string")
     plan = document_scores(df, roles)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1   # only the per-id groupBy
+
+
+def test_broadcast_join_path_equals_in_row_path(spark, roles):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    joined = document_scores(docs, roles, in_row=False)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+    assert {tuple(r) for r in joined.collect()} == {tuple(r) for r in document_scores(docs, roles).collect()}
+    a = {(r.doc_id, r.sid): tuple(r)[-4:] for r in sentence_scores(docs, roles, in_row=False).collect()}
+    b = {(r.doc_id, r.sid): tuple(r)[-4:] for r in sentence_scores(docs, roles).collect()}
+    assert a == b
 
 
 def test_salted_path_equals_broadcast_path(spark, roles):

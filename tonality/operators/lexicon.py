@@ -8,22 +8,22 @@ compound over its sentences.
 
 Plan, one pass over the text and no shuffle of it:
 
-1. narrow: split sentences, split words, strip edge punctuation; per word
-   keep the three preceding words, so no window is needed later; per
-   sentence compute word count, all-caps contrast, first ``but`` and the
-   ``!`` / ``?`` emphasis. ``explode`` gives one row per word plus one
-   anchor row per sentence.
-2. narrow: broadcast hash joins with the word-role table (size checked;
-   beyond the bound a shuffle join salted by document) keep only words with
-   a valence plus the anchors, then attach the roles of the three preceding
-   words.
-3. per-word valence with booster, caps and negation rules; ``but`` weights.
-4. ``groupBy(doc, text hash, sentence)`` with map-side partial aggregation:
-   the only per-sentence shuffle, carrying one row per sentence. Exact
-   duplicate rows (same id and text) fold into one group and are divided
-   back by their anchor count.
-5. ``groupBy(doc)``: mean compound, summed as integers of 1e-4 so the
-   result does not depend on the summation order.
+1. narrow: split sentences (``posexplode``), split words, strip edge
+   punctuation, lower-case and all-caps flags; per sentence the word count,
+   all-caps contrast, first ``but`` and the ``!`` / ``?`` emphasis.
+2. In-row path (word tables of proven small size): lexicon membership,
+   booster and negator tests are hashed ``IN`` sets (``InSet``), valences a
+   ``CASE`` over the distinct values; the rules run as successive array
+   passes in the sentence's row, so a sentence is scored where it is read.
+3. Join path (larger tables): words become rows carrying their three
+   preceding words (no window needed); broadcast hash joins (size checked;
+   beyond the bound, shuffle joins salted by document) attach the roles;
+   hits plus one anchor row per sentence regroup per
+   ``(doc, text hash, sentence)`` with map-side partial aggregation; exact
+   duplicate rows fold into one group and are divided back by their count.
+4. ``groupBy(doc)``: mean compound, summed as integers of 1e-4 so the
+   result does not depend on the summation order; partial aggregation sends
+   one row per task and document, so a hot document id stays cheap.
 
 Left out of the published rules: idioms and "kind of", "least",
 "never so / this" and "without doubt" special cases, emoji translation. The
@@ -199,6 +199,11 @@ def _sentence_scores(scored: DataFrame) -> DataFrame:
         F.sum(F.when(v > 0, v + 1.0)).alias("pos_raw"),
         F.sum(F.when(v < 0, v - 1.0)).alias("neg_raw"),
         F.count_if(v != 0).alias("nz"))
+    return _finish_sentences(agg)
+
+
+def _finish_sentences(agg: DataFrame) -> DataFrame:
+    """Compound and shares from per-sentence sums (``m`` copies folded in)."""
     m = F.col("m").cast("double")
     s = F.coalesce(F.col("s_raw") / m, F.lit(0.0))
     punct = F.col("punct")
@@ -220,12 +225,109 @@ def _sentence_scores(scored: DataFrame) -> DataFrame:
                       share(ps2).alias("pos"), share(neu).alias("neu"), share(ns2).alias("neg"))
 
 
+MAX_VALUE_GROUPS = 256
+
+
+def _lookup_expr(w: Column, groups: dict[float, list[str]]) -> Column:
+    """Value of ``w`` from hashed membership tests, one per distinct value."""
+    expr = None
+    for value, words in sorted(groups.items()):
+        cond = w.isin(words)
+        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
+    return expr if expr is not None else F.lit(None).cast("double")
+
+
+def _in_row_tables(rows) -> dict | None:
+    """Word tables as literal sets, or None when a table has too many values."""
+    vgroups: dict[float, list[str]] = {}
+    bgroups: dict[float, list[str]] = {}
+    lexicon_words, negators = [], []
+    for r in rows:
+        if r.valence is not None:
+            lexicon_words.append(r.w)
+            if r.incr is None:
+                vgroups.setdefault(r.valence, []).append(r.w)
+        if r.incr is not None:
+            bgroups.setdefault(r.incr, []).append(r.w)
+        if r.neg:
+            negators.append(r.w)
+    if len(vgroups) > MAX_VALUE_GROUPS or len(bgroups) > MAX_VALUE_GROUPS:
+        return None
+    return {"v": vgroups, "b": bgroups, "lex": sorted(lexicon_words),
+            "neg": sorted(negators), "scoring": sorted(w for ws in vgroups.values() for w in ws)}
+
+
+def _in_row_sentence_scores(sentences: DataFrame, t: dict) -> DataFrame:
+    """Per sentence, in the sentence's own row (no join, no shuffle)."""
+    lexicon_words, negators, scoring = t["lex"], t["neg"], t["scoring"]
+    per = sentences.select(
+        "doc_id", "thash", "sid",
+        punctuation_emphasis(F.col("sentence")).alias("punct"),
+        F.transform(F.split(F.col("sentence"), r"\s+"), strip_punctuation).alias("words"))
+    per = per.select("doc_id", "thash", "sid", "punct", "words",
+                     F.transform("words", F.lower).alias("lw"))
+    per = per.select("doc_id", "thash", "sid", "punct", "lw",
+                     F.zip_with("words", "lw", lambda w, lo: (F.upper(w) == w) & (lo != w)).alias("caps"))
+    n_tok = F.size("lw")
+    n_caps = F.size(F.filter("caps", lambda c: c))
+    per = per.select("doc_id", "thash", "sid", "punct", "lw", "caps", n_tok.alias("n_tok"),
+                     ((n_caps > 0) & (n_caps < n_tok)).alias("cap_diff"),
+                     (F.array_position("lw", CONTRAST_WORD) - 1).alias("but_at"))
+    lw, caps, cap_diff = F.col("lw"), F.col("caps"), F.col("cap_diff")
+
+    def base(w, i):
+        val = _lookup_expr(w, t["v"])
+        return F.when(w.isin(scoring), val + F.when(F.get(caps, i) & cap_diff,
+                                                    _signed(val, CAPS_INCREMENT))
+                      .otherwise(F.lit(0.0)))
+    per = per.withColumn("vals", F.transform(lw, base))
+    def make_step(d: int):
+        def step(v, i):
+            prev = F.get(lw, i - d)
+            pb = _lookup_expr(prev, t["b"])
+            applies = v.isNotNull() & prev.isNotNull() & ~prev.isin(lexicon_words)
+            scalar = (F.when(v < 0, -pb).otherwise(pb)
+                      + F.when(F.get(caps, i - d) & cap_diff, _signed(v, CAPS_INCREMENT))
+                      .otherwise(F.lit(0.0)))
+            boosted = v + F.when(pb.isNotNull(), scalar * BOOSTER_DAMPING[d - 1]).otherwise(F.lit(0.0))
+            negated = prev.isin(negators) | prev.contains(NEGATION_SUFFIX)
+            return F.when(applies, F.when(negated, boosted * NEGATION_SCALAR).otherwise(boosted)) \
+                .otherwise(v)
+        return step
+
+    for d in range(1, LOOKBACK + 1):
+        per = per.withColumn("vals", F.transform("vals", make_step(d)))
+    but_at = F.col("but_at")
+
+    def but(v, i):
+        return (F.when((but_at >= 0) & (i < but_at), v * BUT_BEFORE)
+                .when((but_at >= 0) & (i > but_at), v * BUT_AFTER).otherwise(v))
+    per = per.withColumn("vals", F.filter(F.transform("vals", but), lambda v: v.isNotNull()))
+    vals = F.col("vals")
+    agg = per.select(
+        "doc_id", "thash", "sid", "n_tok", "punct", F.lit(1).cast("bigint").alias("m"),
+        F.aggregate(vals, F.lit(0.0), lambda a, v: a + v).alias("s_raw"),
+        F.aggregate(vals, F.lit(0.0), lambda a, v: a + F.when(v > 0, v + 1.0).otherwise(F.lit(0.0)))
+        .alias("pos_raw"),
+        F.aggregate(vals, F.lit(0.0), lambda a, v: a + F.when(v < 0, v - 1.0).otherwise(F.lit(0.0)))
+        .alias("neg_raw"),
+        F.size(F.filter(vals, lambda v: v != 0)).cast("bigint").alias("nz"))
+    return _finish_sentences(agg)
+
+
 def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text",
-                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                    in_row: bool = True) -> DataFrame:
     """Per sentence: ``id, sid, compound, pos, neu, neg``.
 
-    Rows with null text have no sentence. ``roles`` is ``word_roles(...)``."""
+    Rows with null text have no sentence. ``roles`` is ``word_roles(...)``.
+    Word tables of proven small size (and at most ``MAX_VALUE_GROUPS``
+    distinct values) are applied in the sentence's own row as hashed
+    membership tests: no join and no shuffle. Otherwise (or with
+    ``in_row=False``) words become rows that meet the tables in broadcast
+    (or salted) joins and regroup per sentence; there an exact duplicate
+    row (same id and text) folds into one sentence group."""
     # One bounded read answers both size questions for the usual small table.
     head = roles.limit(MAX_INLINE_WORDS + 1).collect()
     scoring_words = None
@@ -236,6 +338,12 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
                                    if r.valence is not None and r.incr is None)
     else:
         small = row_count_at_most(roles, max_broadcast_rows)
+    if in_row and scoring_words is not None:
+        tables = _in_row_tables(head)
+        if tables is not None:
+            per_sentence = _in_row_sentence_scores(sentence_table(df, id_col, text_col), tables)
+            return per_sentence.select(F.col("doc_id").alias(id_col), "thash", "sid", "m",
+                                       "compound", "pos", "neu", "neg")
     if small:
         # Proven small: kept in memory once, so the four broadcast lookups
         # below do not each recompute it.
@@ -254,11 +362,14 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
 
 def document_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", score_col: str = "vader",
-                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                    in_row: bool = True) -> DataFrame:
     """Per id: mean sentence compound (``score_col``) and sentence count ``n``.
 
-    Rows sharing an id are averaged together over all their sentences."""
-    sent = sentence_scores(df, roles, id_col, text_col, max_broadcast_rows)
+    Rows sharing an id are averaged together over all their sentences. The
+    only shuffle is this ``groupBy(id)``, partial-aggregated map-side (one
+    row per task and id)."""
+    sent = sentence_scores(df, roles, id_col, text_col, max_broadcast_rows, in_row)
     units = F.round(F.col("compound") * 10000).cast("bigint") * F.col("m")
     doc = sent.groupBy(id_col).agg(F.sum(units).alias("units"), F.sum("m").alias("n"))
     return doc.select(id_col, (F.col("units").cast("double") / (F.col("n") * 10000.0)).alias(score_col),
