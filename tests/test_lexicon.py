@@ -174,3 +174,16 @@ def test_left_score_join_fills_missing(spark, roles):
     left = {r.review_id: r.vader for r in
             join_scores(reviews, scores, how="left", fill={"vader": 0.0}).collect()}
     assert inner == {"a"} and left["b"] == 0.0 and left["a"] > 0
+
+
+def test_many_distinct_values_fall_back_to_join_path(spark):
+    from tonality.operators.lexicon import MAX_VALUE_GROUPS
+    words = [(f"w{i}", 0.001 * (i + 1)) for i in range(MAX_VALUE_GROUPS + 5)] + [("this", 1.9)]
+    big = word_roles(*lexicon_tables(spark, words, FIXTURE_BOOSTERS, FIXTURE_NEGATORS))
+    df = spark.createDataFrame([("a", "w3 this is fine. It w300 here"), ("b", "nothing")],
+                               "doc_id string, text string")
+    scores = document_scores(df, big)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan                     # too many values for in-row sets
+    assert {tuple(r) for r in scores.collect()} == \
+        {tuple(r) for r in document_scores(df, big, in_row=False).collect()}
