@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tonality.fixed import IDF_MIN_DOC_FREQ
 from tonality.functions.arrays import explode_values
 from tonality.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, salted_join
+from tonality.session import checkpoint_dir
 
 TFIDF_SALT_BUCKETS = 16
 
@@ -52,6 +53,7 @@ def tfidf(tf: DataFrame, idf: DataFrame, doc_col: str,
     twice: size check and join). A vocabulary of proven small size is
     broadcast; a larger one is joined with salt, since a common term holds a
     row for almost every document."""
+    checkpoint_dir(idf.sparkSession)      # the session's shared folder (set if unset)
     idf = idf.select("term", "idf").checkpoint()
     side, small = broadcast_if_small(idf, max_broadcast_rows)
     if small:
