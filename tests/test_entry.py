@@ -21,8 +21,9 @@ SURVEY_PROPERTY = ("split_random assembled_features lr_predict lr_with_lexicon m
 
 def test_registered_keys():
     q, sql = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(q) == set(SURVEY_EXACT) | set(SURVEY_PROPERTY)
-    assert set(sql) == set(SURVEY_EXACT)
+    llm = entry_mod.llm_queries
+    assert set(q) == set(SURVEY_EXACT) | set(SURVEY_PROPERTY) | set(llm.QUERIES if llm else ())
+    assert set(sql) == set(SURVEY_EXACT) | set(llm.ORACLE_SQL if llm else ())
 
 
 def _norm(v):

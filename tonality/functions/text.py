@@ -8,16 +8,13 @@ gives none.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
-from functools import lru_cache
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tonality.fixed import PUNCTUATION
+from tonality.fixed import ENGLISH_STOP_WORDS, PUNCTUATION
 
 SENTENCE_MARK = "\u0001"
 # A run of sentence-final marks followed by whitespace ends a sentence.
@@ -30,17 +27,12 @@ def tokenize(text: Column) -> Column:
             .otherwise(F.split(lowered, r"\s")))
 
 
-@lru_cache(maxsize=None)
 def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark's own default stop-word list, read from the MLlib jar."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars",
-                                  "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found next to pyspark")
-    with zipfile.ZipFile(jars[0]) as jar:
-        data = jar.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-    return tuple(w for w in data.decode("utf-8").splitlines() if w)
+    """Spark's default stop words; languages other than English are asked of
+    the running session."""
+    if language == "english":
+        return ENGLISH_STOP_WORDS
+    return tuple(StopWordsRemover.loadDefaultStopWords(language))
 
 
 def remove_stop_words(tokens: Column, words: Sequence[str],
