@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonality.llm import decontaminate, language, mix, url_filter
+from tonality.llm import decontaminate, language, mix, ngram_join, repeats, url_filter
 from tonality.llm.common import table
 
 
@@ -24,13 +24,24 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cut_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op6_language_id": op6_language_id,
     "op7_mix_sources": op7_mix_sources,
     "op8_url_filter": op8_url_filter,
+    "op9_ngram_join": op9_ngram_join,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE_SQL = {
     "op7_mix_sources": mix.ORACLE.format(docs="documents"),
+    "op9_ngram_join": ngram_join.ORACLE,
 }
