@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tonality.llm import decontaminate, language, mix, ngram_join, repeats, url_filter
+from tonality.llm import decontaminate, language, mix, ngram_join, pii, repeats, topk, url_filter
 from tonality.llm.common import table
 
 
@@ -12,6 +13,15 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.prepared(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(vectors, vectors.filter(F.col("id") % 100 == 0))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -34,6 +44,8 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op4_exact_top_k": op4_exact_top_k,
+    "op5_pii": op5_pii,
     "op6_language_id": op6_language_id,
     "op7_mix_sources": op7_mix_sources,
     "op8_url_filter": op8_url_filter,
@@ -42,6 +54,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_exact_top_k": topk.ORACLE,
     "op7_mix_sources": mix.ORACLE.format(docs="documents"),
     "op9_ngram_join": ngram_join.ORACLE,
 }
