@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonality.llm import decontaminate, language, mix, ngram_join, pii, repeats, topk, url_filter
+import corpus_pipeline
+from tonality.llm import decontaminate, html_text, language, licenses, mix, ngram_join, pii, repeats, topk, url_filter
 from tonality.llm.common import table
 
 
@@ -13,6 +14,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.prepared(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.top_k(vectors, vectors.filter(F.col("id") % 100 == 0))
@@ -44,6 +53,8 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_html_text": op2_html_text,
+    "op3_license_scan": op3_license_scan,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_pii": op5_pii,
     "op6_language_id": op6_language_id,
@@ -51,6 +62,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_repeats": op10_repeats,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
