@@ -28,7 +28,6 @@ no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,16 +35,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonality.llm.common import LOWER, UPPER, written
+from tonality.llm.common import written
 from tonality.llm.components import connected_components
 
 N = 4
 PERCENT = 85
-DENSE = 128
+DENSE = 512
 FILTER_BITS = 1 << 24
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-TO_LOWER = str.maketrans(UPPER, LOWER)
-SALTS = (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
+TOKEN_BITS = 26
+SALTS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -55,18 +53,50 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+# Byte values: separators become 0, A-Z their lower-case letters.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[[9, 10, 11, 12, 13, 32]] = 0
+FOLD[65:91] += 32
+BYTE_CODES = mix64(np.arange(1, 257, dtype=np.uint64))
+POWERS = np.cumprod(np.full(1 << 10, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def word_codes(text: str) -> np.ndarray:
+    """uint64 hash of every word of the text."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    data = FOLD[raw]
+    inside = (data != 0) | (raw == 0)
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
+    first, after = edge[::2], edge[1::2]
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    # Each byte's place in its word; bytes before the first word do not count.
+    data, inside, after, first = data[first[0]:], inside[first[0]:], after - first[0], first - first[0]
+    place = np.arange(len(data)) - np.repeat(first, np.diff(np.append(first, len(data))))
+    with np.errstate(over="ignore"):
+        term = BYTE_CODES[data] * POWERS[place & 1023] + (place >> 10).astype(np.uint64) * inside
+        term[~inside] = 0
+        return mix64(np.add.reduceat(term, first) + (after - first).astype(np.uint64))
+
+
 def shingle_set(text: str | None, n: int = N) -> np.ndarray:
     """Sorted distinct uint64 hashes of the text's word n-grams."""
-    words = WORDS.findall(text.translate(TO_LOWER)) if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    n = min(n, len(words))
-    codes = pd.util.hash_array(np.array(words, object), categorize=True)
-    h = np.full(len(words) - n + 1, n, np.uint64)
+    codes = word_codes(text) if text else np.zeros(0, np.uint64)
+    if not len(codes):
+        return codes
+    n = min(n, len(codes))
+    h = np.full(len(codes) - n + 1, n, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(n):
-            h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + codes[k: len(codes) - n + 1 + k])
-    return np.unique(h)
+            h = h * np.uint64(0x9E3779B97F4A7C15) + codes[k: len(codes) - n + 1 + k]
+            h ^= h >> np.uint64(32)
+    return np.unique(mix64(h))
+
+
+def prefixes(s: np.ndarray, percent: int) -> list[np.ndarray]:
+    """The prefixes of a set under the further orders."""
+    p = prefix_length(len(s), percent)
+    return [np.partition(mix64(s ^ np.uint64(k)), p - 1)[:p].view(np.int64) for k in SALTS]
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -88,61 +118,81 @@ def _signatures(n: int, percent: int):
                 with np.errstate(over="ignore"):
                     f1 = int((s * np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64).astype(np.int64))
                     f2 = int(np.bitwise_xor.reduce(mix64(s)).astype(np.int64)) if len(s) else 0
-                    tops = [np.sort(np.partition(mix64(s ^ np.uint64(k)), p - 1)[:p]).view(np.int64) if p else
-                            np.zeros(0, np.int64) for k in SALTS[1:]]
-                out.append((len(s), f1, f2, s[:p].view(np.int64), tops[0], tops[1]))
-            sig = pd.DataFrame(out, columns=["n_shingles", "f1", "f2", "top0", "top1", "top2"])
+                out.append((len(s), f1, f2, s[:p].view(np.int64)))
+            sig = pd.DataFrame(out, columns=["n_shingles", "f1", "f2", "top"])
             sig.insert(0, "doc_id", b["doc_id"].to_numpy())
             yield sig
     return run
 
 
-def _id_filter(ids: DataFrame) -> bytes:
-    """FILTER_BITS bits, set at the hashes of ``ids`` (doc_id): 2 MB at any size."""
-    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
-    found = ids.select(slot.alias("slot")).groupBy((F.col("slot") / 64).cast("int").alias("at")).agg(
+def _filter(slots: DataFrame, size: int) -> bytes:
+    """``size`` bits, set at the given slots: size / 8 bytes whatever the input."""
+    found = slots.groupBy((F.col("slot") / 64).cast("int").alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
-    flags = np.zeros(FILTER_BITS // 64, np.int64)
+    flags = np.zeros(size // 64, np.int64)
     flags[found["at"].to_numpy()] = found["bits"].to_numpy()
     return flags.view(np.uint8).tobytes()
 
 
+def _id_filter(ids: DataFrame) -> bytes:
+    return _filter(ids.select(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS)).alias("slot")), FILTER_BITS)
+
+
 class _Join:
     """The rounds of one self-join; all frames below are on shared storage."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, n: int, percent: int):
-        self.docs, self.reps, self.n, self.percent = docs, reps, n, percent
+    def __init__(self, docs: DataFrame, n: int, percent: int):
+        self.docs, self.n, self.percent = docs, n, percent
         self.links: DataFrame | None = None
 
-    def sets_of(self, ids: DataFrame) -> DataFrame:
-        """(id, s) for the wanted ids (and none else), from the whole texts."""
-        bits = self.docs.sparkSession.sparkContext.broadcast(_id_filter(ids.select(F.col("id").alias("doc_id"))))
-        n = self.n
+    def sets_of(self, ids: DataFrame, tops: bool = False, tokens: bytes | None = None) -> DataFrame:
+        """(id, n, s) for the wanted ids, from the whole texts (the filter may let a few
+        others pass; they are documents like any other). With ``tops``, instead of s the
+        prefixes under the further orders as t0, t1; with ``tokens``, a filter of token
+        hashes, s holds only the tokens that pass (n counts all)."""
+        context = self.docs.sparkSession.sparkContext
+        bits = context.broadcast((_id_filter(ids.select(F.col("id").alias("doc_id"))), tokens))
+        n, percent = self.n, self.percent
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            flags = np.frombuffer(bits.value, np.uint8)
+            flags = np.frombuffer(bits.value[0], np.uint8)
+            twice = np.frombuffer(bits.value[1], np.uint8) if bits.value[1] else None
             for b in batches:
                 slot = b["slot"].to_numpy()
                 b = b[(flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1]
-                yield pd.DataFrame({"id": b["doc_id"], "s": [shingle_set(t, n).view(np.int64) for t in b["text"]]})
+                if b.empty:
+                    continue
+                sets = [shingle_set(t, n) for t in b["text"]]
+                out = pd.DataFrame({"id": b["doc_id"].to_numpy(), "n": np.array([len(x) for x in sets], np.int64)})
+                if tops:
+                    both = [prefixes(x, percent) if len(x) else [x, x] for x in sets]
+                    yield out.assign(t0=pd.Series([x[0] for x in both], dtype=object),
+                                     t1=pd.Series([x[1] for x in both], dtype=object))
+                    continue
+                if twice is not None:
+                    at = [(x >> np.uint64(64 - TOKEN_BITS)).astype(np.int64) for x in sets]
+                    sets = [x[(twice[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1] for x, i in zip(sets, at)]
+                out["s"] = pd.Series([x.view(np.int64) for x in sets], dtype=object)
+                yield out
 
         slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
-        sets = self.docs.select("doc_id", "text", slot.alias("slot")).mapInPandas(run, "id long, s array<long>")
-        return sets.join(ids.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+        shape = "id long, n long, " + ("t0 array<long>, t1 array<long>" if tops else "s array<long>")
+        return self.docs.filter("doc_id IS NOT NULL").select("doc_id", "text", slot.alias("slot")).mapInPandas(run, shape)
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The (a, b) of ``pairs`` that link."""
-        far = self.reps.select("id", "top1", "top2")
-        pairs = (pairs.join(far.select(F.col("id").alias("a"), F.col("top1").alias("a1"), F.col("top2").alias("a2")), "a")
-                 .join(far.select(F.col("id").alias("b"), F.col("top1").alias("b1"), F.col("top2").alias("b2")), "b")
-                 .filter(F.arrays_overlap("a1", "b1") & F.arrays_overlap("a2", "b2")).select("a", "b"))
+        """The (a, b) of ``pairs`` that link: prefixes under further orders first."""
         pairs = written(pairs, f"{name}-pairs")
-        sets = written(self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()), f"{name}-sets")
-        both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-                .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
-        shared = F.size(F.array_intersect("sa", "sb"))
-        return written(both.filter(enough(shared, F.size("sa"), F.size("sb"), self.percent)).select(
-            F.col("a").alias("u"), F.col("b").alias("v")), f"{name}-links")
+        ids = lambda: pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        tops = written(self.sets_of(ids(), tops=True).drop("n"), f"{name}-tops")
+        of = lambda frame, side: frame.select(F.col("id").alias(side), *[
+            F.col(c).alias(f"{c}_{side}") for c in frame.columns if c != "id"])
+        pairs = written(pairs.join(of(tops, "a"), "a").join(of(tops, "b"), "b").filter(
+            F.arrays_overlap("t0_a", "t0_b") & F.arrays_overlap("t1_a", "t1_b")).select("a", "b").distinct(), f"{name}-kept")
+        sets = written(self.sets_of(ids()).drop("n"), f"{name}-sets")
+        both = pairs.join(of(sets, "a"), "a").join(of(sets, "b"), "b")
+        shared = F.size(F.array_intersect("s_a", "s_b"))
+        return written(both.filter(enough(shared, F.size("s_a"), F.size("s_b"), self.percent)).select(
+            F.col("a").alias("u"), F.col("b").alias("v")).distinct(), f"{name}-links")
 
     def add(self, links: DataFrame) -> None:
         self.links = links if self.links is None else self.links.union(links)
@@ -187,16 +237,16 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, dens
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(docs.mapInPandas(
         _signatures(n, percent), "doc_id long, n_shingles long, f1 long, f2 long, "
-        "top0 array<long>, top1 array<long>, top2 array<long>"), "signatures")
+        "top array<long>"), "signatures")
     same = ["n_shingles", "f1", "f2"]
     some = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     first = some.groupBy(*same).agg(F.min("doc_id").alias("id"))
     classes = written(some.select("doc_id", *same).join(first, same).select("doc_id", "id").distinct(), "classes")
-    reps = written(some.withColumnRenamed("doc_id", "id").join(first, ["id", *same], "left_semi")
-                   .dropDuplicates(["id", *same]).withColumnRenamed("n_shingles", "n"), "reps")
-    join = _Join(docs, reps, n, percent)
+    reps = some.withColumnRenamed("doc_id", "id").join(first, ["id", *same], "left_semi").dropDuplicates(
+        ["id", *same]).withColumnRenamed("n_shingles", "n")
+    join = _Join(docs, n, percent)
 
-    postings = reps.select("id", "n", F.posexplode("top0").alias("pos", "token"))
+    postings = written(reps.select("id", "n", F.posexplode("top").alias("pos", "token")), "prefixes")
     counts = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     postings = written(postings.join(counts, "token"), "postings")
     join.against_one(postings, "near")
@@ -204,8 +254,10 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, dens
 
     crowd = written(postings.filter(F.col("c") >= dense).select("id").distinct(), "crowd")
     if not crowd.isEmpty():
-        tokens = join.sets_of(crowd).select("id", F.size("s").alias("n"), F.explode("s").alias("token"))
-        tokens = written(tokens, "crowd-tokens")
+        seen = join.sets_of(crowd).select(F.explode("s").alias("token")).groupBy("token").agg(
+            F.count(F.lit(1)).alias("c")).filter("c > 1")
+        twice = _filter(seen.select(F.expr(f"shiftrightunsigned(token, {64 - TOKEN_BITS})").alias("slot")), 1 << TOKEN_BITS)
+        tokens = written(join.sets_of(crowd, tokens=twice).select("id", "n", F.explode("s").alias("token")).distinct(), "crowd-tokens")
         common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
         ranked = tokens.join(common, "token").groupBy("id", "n").agg(
             F.array_sort(F.collect_list(F.struct("c", "token"))).alias("t"))
