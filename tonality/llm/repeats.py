@@ -1,15 +1,16 @@
 """Removing long repeated byte strings with a run-length suffix index.
 
-Every ``LENGTH``-byte window picks an anchor: its smallest ``GRAM``-byte hash,
-leftmost on ties. Equal windows pick equal anchors, so a window can repeat only
+Every ``LENGTH``-byte window picks an anchor: its smallest hash of ``gram_of(LENGTH)``
+bytes (about a third of the window, so that chance matches are rare), leftmost on ties. Equal windows pick equal anchors, so a window can repeat only
 among windows with the same anchor hash.
 
 1. Anchor hashes are counted; those found twice or more set bits of a
    fixed-size filter.
-2. For every anchor that passes, a task writes out the bytes that its run of
-   windows covers. No window lies in two such contexts. Equal contexts collapse
-   into one with a count; where the count is two or more all its windows repeat.
-3. Other contexts go in shards by anchor hash, about ``SHARD`` contexts each. A shard's
+2. For every anchor that passes, a task writes out where its run of windows lies and
+   a digest of the bytes it covers, its context. No window lies in two contexts. Equal
+   contexts count as one; where the count is two or more all its windows repeat.
+3. Anchors with several different contexts are read again with their bytes, once
+   each, and go in shards by anchor hash, about ``SHARD`` contexts each. A shard's
    texts are sorted into a suffix array, giving a Burrows-Wheeler transform; only at the
    heads and tails of its runs are common lengths with the neighbouring suffix
    computed, and a text-order pass streams the matching statistics of all
@@ -37,17 +38,22 @@ from pyspark.sql import functions as F
 from tonality.llm.common import written
 
 LENGTH = 400
-GRAM = 32
 FILTER_BITS = 1 << 26
 SHARD = 1500
 CROWD = 1000
 STEP = 1 << 22
+YIELD = 4000
 
 
 def _u64(x: int) -> np.uint64:
     return np.uint64(x & 0xFFFFFFFFFFFFFFFF)
 
 
+def gram_of(length: int) -> int:
+    """Bytes of an anchor: the largest power of two up to a third of the window."""
+    return 1 << max(0, (length // 3).bit_length() - 1)
+
+
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """uint64 hash of the ``gram`` bytes from each position (a power of two)."""
     h, width = data.astype(np.uint64) + np.uint64(1), 1
@@ -70,9 +76,9 @@ def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first window, window after the last) of each anchor of a text."""
-    hs, los, his = [], [], []
+    hs, los, his, gram = [], [], [], gram_of(length)
     for base in range(0, max(0, len(data) - length + 1), STEP):
         part = data[base: base + STEP + length - 1]
         h = gram_hashes(part, gram)
@@ -107,21 +113,60 @@ def _count_anchors(length: int):
     return run
 
 
-def _contexts(bits, length: int):
+def _slot_filter(slots: DataFrame) -> bytes:
+    """FILTER_BITS bits, set at the slots of the anchor hashes ``h``."""
+    slot = slots.select(F.expr("shiftrightunsigned(h, 38)").alias("slot"))
+    found = slot.groupBy((F.col("slot") / 64).cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
+    flags = np.zeros(FILTER_BITS // 64, np.int64)
+    flags[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return flags.view(np.uint8).tobytes()
+
+
+def _passing(bits, text: str | None, length: int):
+    """(bytes, hash, first window, window after the last) of the anchors that pass."""
+    flags, data = np.frombuffer(bits.value, np.uint8), _bytes(text)
+    h, lo, hi = anchors(data, length)
+    slot = (h >> np.uint64(38)).astype(np.int64)
+    take = (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+    return data.tobytes(), h[take].view(np.int64).tolist(), lo[take].tolist(), hi[take].tolist()
+
+
+def _places(bits, length: int):
+    columns = ["doc_key", "h", "lo", "n", "ch"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        flags = np.frombuffer(bits.value, np.uint8)
         for b in batches:
+            rows = []
             for doc, text in zip(b["doc_key"], b["text"]):
-                data = _bytes(text)
-                h, lo, hi = anchors(data, length)
-                slot = (h >> np.uint64(38)).astype(np.int64)
-                take = np.flatnonzero((flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
-                for part in np.array_split(take, max(1, len(take) // 2000)):
-                    if not len(part):
-                        continue
-                    ctx = [data[lo[i]: hi[i] + length - 1].tobytes() for i in part]
-                    yield pd.DataFrame({"doc_key": doc, "h": h[part].view(np.int64), "lo": lo[part], "ctx": ctx,
-                                        "ch": [hashlib.md5(c).digest() for c in ctx]})
+                data, hs, los, his = _passing(bits, text, length)
+                for h, lo, hi in zip(hs, los, his):
+                    rows.append((doc, h, lo, hi - lo, hashlib.md5(data[lo: hi + length - 1]).digest()))
+                    if len(rows) >= YIELD:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
+    return run
+
+
+def _contexts(bits, length: int):
+    """The contexts of the anchors that pass, each once per batch of output."""
+    columns = ["h", "ch", "ctx"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = {}
+            for text in b["text"]:
+                data, hs, los, his = _passing(bits, text, length)
+                for h, lo, hi in zip(hs, los, his):
+                    ctx = data[lo: hi + length - 1]
+                    rows[h, hashlib.md5(ctx).digest()] = ctx
+                    if len(rows) >= YIELD:
+                        yield pd.DataFrame([(*k, c) for k, c in rows.items()], columns=columns)
+                        rows = {}
+            if rows:
+                yield pd.DataFrame([(*k, c) for k, c in rows.items()], columns=columns)
     return run
 
 
@@ -209,9 +254,13 @@ def _shard(length: int):
 def _window_rows(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for h, ch, ctx in zip(b["h"], b["ch"], b["ctx"]):
-                w = window_hashes(np.frombuffer(ctx, np.uint8), length).view(np.int64)
-                yield pd.DataFrame({"h": h, "ch": ch, "at": np.arange(len(w)), "w": w})
+            for at in range(0, len(b), YIELD // 40):
+                part = b.iloc[at: at + YIELD // 40]
+                w = [window_hashes(np.frombuffer(c, np.uint8), length).view(np.int64) for c in part["ctx"]]
+                sizes = [len(x) for x in w]
+                yield pd.DataFrame({"h": np.repeat(part["h"].to_numpy(), sizes),
+                                    "ch": np.repeat(part["ch"].to_numpy(), sizes),
+                                    "at": np.concatenate([np.arange(k) for k in sizes]), "w": np.concatenate(w)})
     return run
 
 
@@ -235,22 +284,17 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``length`` bytes that also start elsewhere. ``docs``: doc_key, text."""
     spark = docs.sparkSession
     counted = docs.select("text").mapInPandas(_count_anchors(length), "h long, c long")
-    slots = counted.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 1").select(
-        F.expr("shiftrightunsigned(h, 38)").alias("slot"))
-    # FILTER_BITS / 64 numbers at most.
-    found = slots.groupBy((F.col("slot") / 64).cast("int").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
-    flags = np.zeros(FILTER_BITS // 64, np.int64)
-    flags[found["at"].to_numpy()] = found["bits"].to_numpy()
-    bits = spark.sparkContext.broadcast(flags.view(np.uint8).tobytes())
+    context = spark.sparkContext
+    bits = context.broadcast(_slot_filter(
+        counted.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 1").select("h")))
     held = written(docs.mapInPandas(
-        _contexts(bits, length), "doc_key binary, h long, lo long, ctx binary, ch binary"), "contexts")
-    unique = held.groupBy("h", "ch").agg(F.count(F.lit(1)).alias("c"), F.min("ctx").alias("ctx"))
-    unique = written(unique, "distinct-contexts")
-    per = unique.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
-    whole = unique.filter("c > 1").select(
-        "h", "ch", F.array(F.lit(0), F.length("ctx") - length + 1).cast("array<long>").alias("found"))
-    several = written(unique.join(per.filter("k > 1"), "h"), "shared-anchors")
+        _places(bits, length), "doc_key binary, h long, lo long, n long, ch binary"), "places")
+    unique = written(held.groupBy("h", "ch").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")), "contexts")
+    per = written(unique.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "shared-anchors")
+    whole = unique.filter("c > 1").select("h", "ch", F.array(F.lit(0).cast("long"), F.col("n")).alias("found"))
+    again = context.broadcast(_slot_filter(per))
+    texts = docs.select("text").mapInPandas(_contexts(again, length), "h long, ch binary, ctx binary")
+    several = written(texts.groupBy("h", "ch").agg(F.min("ctx").alias("ctx")).join(per, "h"), "shared-contexts")
     few = several.filter(F.col("k") <= CROWD)
     shards = max(1, few.count() // SHARD)
     sharded = few.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard").applyInPandas(
