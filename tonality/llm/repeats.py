@@ -16,8 +16,9 @@ among windows with the same anchor hash.
    computed, and a text-order pass streams the matching statistics of all
    other positions from them (a length shrinks by one per step inside a run).
 4. An anchor with more than ``CROWD`` different contexts would make one shard large.
-   Its windows are counted by hash instead, spread over all tasks; the
-   answer is the same.
+   Its windows are counted by hash instead, spread over all tasks, and hashes found
+   twice set bits of a filter. A window that passes repeats, unless a hash found once
+   has the same bit; only windows at such bits become rows, for an exact join.
 5. Windows found to repeat become byte ranges per document, merged and cut out.
 
 Defined results: null text has no bytes; texts under ``LENGTH`` bytes keep
@@ -113,6 +114,11 @@ def _count_anchors(length: int):
     return run
 
 
+def digest(ctx: bytes) -> int:
+    """64 bits; contexts are told apart by these and their anchor's 64 bits."""
+    return int.from_bytes(hashlib.blake2b(ctx, digest_size=8).digest(), "little", signed=True)
+
+
 def _slot_filter(slots: DataFrame) -> bytes:
     """FILTER_BITS bits, set at the slots of the anchor hashes ``h``."""
     slot = slots.select(F.expr("shiftrightunsigned(h, 38)").alias("slot"))
@@ -141,7 +147,7 @@ def _places(bits, length: int):
             for doc, text in zip(b["doc_key"], b["text"]):
                 data, hs, los, his = _passing(bits, text, length)
                 for h, lo, hi in zip(hs, los, his):
-                    rows.append((doc, h, lo, hi - lo, hashlib.md5(data[lo: hi + length - 1]).digest()))
+                    rows.append((doc, h, lo, hi - lo, digest(data[lo: hi + length - 1])))
                     if len(rows) >= YIELD:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
@@ -161,7 +167,7 @@ def _contexts(bits, length: int):
                 data, hs, los, his = _passing(bits, text, length)
                 for h, lo, hi in zip(hs, los, his):
                     ctx = data[lo: hi + length - 1]
-                    rows[h, hashlib.md5(ctx).digest()] = ctx
+                    rows[h, digest(ctx)] = ctx
                     if len(rows) >= YIELD:
                         yield pd.DataFrame([(*k, c) for k, c in rows.items()], columns=columns)
                         rows = {}
@@ -251,16 +257,54 @@ def _shard(length: int):
     return run
 
 
-def _window_rows(length: int):
+def _window_codes(h: int, ctx: bytes, length: int) -> np.ndarray:
+    """One uint64 per window of a context, from the window and its anchor."""
+    w = window_hashes(np.frombuffer(ctx, np.uint8), length)
+    with np.errstate(over="ignore"):
+        w = (w ^ np.uint64(h & 0xFFFFFFFFFFFFFFFF)) * _u64(0x94D049BB133111EB)
+    return w ^ (w >> np.uint64(31))
+
+
+def _window_counts(length: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            w = [_window_codes(h, c, length) for h, c in zip(b["h"], b["ctx"])]
+            w, c = np.unique(np.concatenate(w) if w else np.zeros(0, np.uint64), return_counts=True)
+            yield pd.DataFrame({"h": w.view(np.int64), "c": c.astype(np.int64)})
+    return run
+
+
+def _bits_at(flags: np.ndarray, w: np.ndarray) -> np.ndarray:
+    slot = (w >> np.uint64(38)).astype(np.int64)
+    return (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def _certain(bits, length: int):
+    """(h, ch, found): the windows whose bit only repeated hashes have set."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            twice, doubt = (np.frombuffer(x, np.uint8) for x in bits.value)
+            rows = []
+            for h, ch, ctx in zip(b["h"], b["ch"], b["ctx"]):
+                w = _window_codes(h, ctx, length)
+                if found := _ranges(_bits_at(twice, w) & ~_bits_at(doubt, w)):
+                    rows.append((h, ch, found))
+            yield pd.DataFrame(rows, columns=["h", "ch", "found"])
+    return run
+
+
+def _doubtful(bits, length: int):
+    """(h, ch, at, w): one row per window whose bit hashes found once share."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), YIELD // 40):
-                part = b.iloc[at: at + YIELD // 40]
-                w = [window_hashes(np.frombuffer(c, np.uint8), length).view(np.int64) for c in part["ctx"]]
-                sizes = [len(x) for x in w]
-                yield pd.DataFrame({"h": np.repeat(part["h"].to_numpy(), sizes),
-                                    "ch": np.repeat(part["ch"].to_numpy(), sizes),
-                                    "at": np.concatenate([np.arange(k) for k in sizes]), "w": np.concatenate(w)})
+            twice, doubt = (np.frombuffer(x, np.uint8) for x in bits.value)
+            for first in range(0, len(b), YIELD):
+                rows = []
+                for h, ch, ctx in b[["h", "ch", "ctx"]].iloc[first: first + YIELD].itertuples(index=False):
+                    w = _window_codes(h, ctx, length)
+                    at = np.flatnonzero(_bits_at(twice, w) & _bits_at(doubt, w))
+                    rows.extend((h, ch, i, x) for i, x in zip(at.tolist(), w[at].view(np.int64).tolist()))
+                yield pd.DataFrame(rows, columns=["h", "ch", "at", "w"])
     return run
 
 
@@ -288,23 +332,27 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     bits = context.broadcast(_slot_filter(
         counted.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 1").select("h")))
     held = written(docs.mapInPandas(
-        _places(bits, length), "doc_key binary, h long, lo long, n long, ch binary"), "places")
+        _places(bits, length), "doc_key binary, h long, lo long, n long, ch long"), "places")
     unique = written(held.groupBy("h", "ch").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")), "contexts")
     per = written(unique.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "shared-anchors")
     whole = unique.filter("c > 1").select("h", "ch", F.array(F.lit(0).cast("long"), F.col("n")).alias("found"))
     again = context.broadcast(_slot_filter(per))
-    texts = docs.select("text").mapInPandas(_contexts(again, length), "h long, ch binary, ctx binary")
+    texts = docs.select("text").mapInPandas(_contexts(again, length), "h long, ch long, ctx binary")
     several = written(texts.groupBy("h", "ch").agg(F.min("ctx").alias("ctx")).join(per, "h"), "shared-contexts")
     few = several.filter(F.col("k") <= CROWD)
     shards = max(1, few.count() // SHARD)
     sharded = few.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard").applyInPandas(
-        _shard(length), "h long, ch binary, found array<long>")
-    rows = several.filter(F.col("k") > CROWD).select("h", "ch", "ctx").mapInPandas(
-        _window_rows(length), "h long, ch binary, at long, w long")
-    rows = written(rows, "crowded-windows")
-    twice = rows.groupBy("h", "w").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h", "w")
-    crowded = rows.join(twice, ["h", "w"], "left_semi").groupBy("h", "ch").agg(
-        F.flatten(F.collect_list(F.array(F.col("at"), F.col("at") + 1))).alias("found"))
+        _shard(length), "h long, ch long, found array<long>")
+    crowd = several.filter(F.col("k") > CROWD).select("h", "ch", "ctx")
+    windows = written(crowd.select("h", "ctx").mapInPandas(_window_counts(length), "h long, c long").groupBy("h").agg(
+        F.sum("c").alias("c")), "crowded-windows")
+    twice = _slot_filter(windows.filter("c > 1"))
+    passing = context.broadcast((twice, _slot_filter(windows.filter("c = 1"))))
+    found = "h long, ch long, found array<long>"
+    certain = crowd.mapInPandas(_certain(passing, length), found)
+    rows = crowd.mapInPandas(_doubtful(passing, length), "h long, ch long, at long, w long")
+    crowded = certain.union(rows.join(windows.filter("c > 1").select(F.col("h").alias("w")), "w", "left_semi").groupBy(
+        "h", "ch").agg(F.flatten(F.collect_list(F.array(F.col("at"), F.col("at") + 1))).alias("found")))
     marks = whole.union(sharded).union(crowded)
     pairs = F.expr("transform(sequence(0, cast(size(found) / 2 as int) - 1), "
                    "i -> named_struct('x', found[2 * i], 'y', found[2 * i + 1]))")
