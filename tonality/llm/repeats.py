@@ -338,12 +338,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = unique.filter("c > 1").select("h", "ch", F.array(F.lit(0).cast("long"), F.col("n")).alias("found"))
     again = context.broadcast(_slot_filter(per))
     texts = docs.select("text").mapInPandas(_contexts(again, length), "h long, ch long, ctx binary")
-    several = written(texts.groupBy("h", "ch").agg(F.min("ctx").alias("ctx")).join(per, "h"), "shared-contexts")
-    few = several.filter(F.col("k") <= CROWD)
+    # The filter may let anchors with one context pass: its windows are all different.
+    several = written(texts.groupBy("h", "ch").agg(F.min("ctx").alias("ctx")), "shared-contexts")
+    dense = written(per.filter(F.col("k") > CROWD).select("h"), "crowded-anchors")
+    few = several.join(dense, "h", "left_anti")
     shards = max(1, few.count() // SHARD)
     sharded = few.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard").applyInPandas(
         _shard(length), "h long, ch long, found array<long>")
-    crowd = several.filter(F.col("k") > CROWD).select("h", "ch", "ctx")
+    crowd = several.join(dense, "h", "left_semi").select("h", "ch", "ctx")
     windows = written(crowd.select("h", "ctx").mapInPandas(_window_counts(length), "h long, c long").groupBy("h").agg(
         F.sum("c").alias("c")), "crowded-windows")
     twice = _slot_filter(windows.filter("c > 1"))
