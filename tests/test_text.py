@@ -68,3 +68,15 @@ def test_sentences_and_strip(spark):
     w = spark.createDataFrame([("(good)",), (":)",), ("a.",), ("'tis",)], "w string")
     got = [r.x for r in w.select(strip_punctuation(F.col("w")).alias("x")).collect()]
     assert got == ["good", ":)", "a.", "tis"]
+
+
+def test_long_runs_and_control_characters(spark):
+    n = 300_000
+    rows = [("a" + " " * n + "b.",), ("." * n + "x y",), ("one\u0001two. three",), (" " * n,)]
+    df = spark.createDataFrame(rows, "text string")
+    got = [(r.s, r.t) for r in df.select(split_sentences(F.col("text")).alias("s"),
+                                         tokenize(F.col("text")).alias("t")).collect()]
+    assert got[0][0] == [rows[0][0]] and len(got[0][1]) == n + 1
+    assert got[1] == ([rows[1][0]], ["." * n + "x", "y"])
+    assert got[2][0] == ["one\u0001two.", "three"]
+    assert got[3] == ([], [])

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from tonality.fixed import ENGLISH_STOP_WORDS, PUNCTUATION
 
-SENTENCE_MARK = "\u0001"
-# A run of sentence-final marks followed by whitespace ends a sentence.
-SENTENCE_END = r"([.!?]+)\s+"
+# The look-behinds let a run match from its first character only, so long runs of
+# whitespace or marks cost linear time.
+TRAILING_SPACE = r"(?<!\s)\s++$"
+# Whitespace after a sentence-final mark ends a sentence.
+SENTENCE_BREAK = r"(?<=[.!?])\s+"
 
 
 def tokenize(text: Column) -> Column:
-    lowered = F.regexp_replace(F.lower(text), r"\s+$", "")
+    lowered = F.regexp_replace(F.lower(text), TRAILING_SPACE, "")
     return (F.when(text.rlike(r"^\s+$"), F.array().cast("array<string>"))
             .otherwise(F.split(lowered, r"\s")))
 
@@ -48,9 +50,8 @@ def remove_stop_words(tokens: Column, words: Sequence[str],
 def split_sentences(text: Column) -> Column:
     """Sentences: the trimmed text cut after each run of ``.``, ``!`` or ``?``
     that is followed by whitespace; empty text gives no sentence."""
-    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
-    marked = F.regexp_replace(trimmed, SENTENCE_END, "$1" + SENTENCE_MARK)
-    return F.filter(F.split(marked, SENTENCE_MARK), lambda s: s != "")
+    trimmed = F.regexp_replace(text, r"^\s+|" + TRAILING_SPACE, "")
+    return F.filter(F.split(trimmed, SENTENCE_BREAK), lambda s: s != "")
 
 
 def sentence_words(sentence: Column) -> Column:
