@@ -5,6 +5,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from tonality.llm import decontaminate, language, licenses, mix, ngram_join, pii, repeats
 
 LONG = " ".join(f"w{i % 977}" for i in range(30_000))
@@ -165,3 +167,21 @@ def test_decontamination_finds_exact_and_edited_passages(spark, docs):
     assert set(out) == {(50, 0), (51, 1)} and out[50, 0] == 1.0 and out[51, 1] < 1.0
     assert decontaminate.contaminated(docs([]), bench).count() == 0
     assert decontaminate.contaminated(docs(rows), bench.filter("false")).count() == 0
+
+
+def test_decontamination_keeps_edited_copies_beside_exact_ones(spark, docs):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"t{rng.randrange(5000)}" for _ in range(n))
+    items = [(i, text(30)) for i in range(4)]
+    rows, want = [], set()
+    for i, t in items:
+        edited = t.split()
+        edited[14] = "changed"
+        rows += [(100 + i, f"{text(60)} {t} {text(60)}", "", "")]
+        rows += [(1000 + 10 * i + k, f"{text(60)} {' '.join(edited)} {text(60)}", "", "") for k in range(1 + 5 * (i % 2))]
+        want |= {(100 + i, i)} | {(1000 + 10 * i + k, i) for k in range(1 + 5 * (i % 2))}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs(rows), bench).collect()}
+    assert set(out) == want and all(v > 0.9 for v in out.values())
+    codes = [np.array([rng.randrange(9) for _ in range(n)], np.uint64) for n in (3, 8, 20, 40) for _ in range(20)]
+    assert all(decontaminate.align(a, b)[0] <= decontaminate.most_score(a, b) + 1e-12 for a in codes for b in codes)

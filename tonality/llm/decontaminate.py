@@ -1,12 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. The items' word n-grams set bits of one fixed-size filter (2 MB whatever the
    benchmark's size). Each task slides over its whole texts, keeps n-grams that pass,
    and writes out the passages around them, merging hits closer than the longest item.
-2. Hits join the item seeds by hash. A seed's document frequency is its number of
-   passages; every item keeps its rarest ``RARE_SHARE`` of seeds, ties kept.
-3. Each (passage, item) pair with a rare seed is aligned word by word (match 2,
-   mismatch and gap -1); score is the best local score over a whole match's score.
+2. Hits join the item seeds by hash. A pair's rarest shared seed always belongs to
+   the pair, however common it is elsewhere, so every (passage, item) pair with a
+   shared seed is a candidate, once.
+3. Each pair is aligned word by word (match 2, mismatch and gap -1); score is the best
+   local score over a whole match's score. Pairs with too few words in common to reach
+   the least score (a bound that holds for every alignment) need no alignment.
 
 Words are runs of letters and digits, lower-cased. Defined results: null or
 short texts give no seed and no row; items with fewer words than ``SEED`` use their
@@ -21,14 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonality.llm.common import written
 
 SEED = 4
 MIN_SCORE = 0.6
-RARE_SHARE = 0.75
 FILTER_BITS = 1 << 24
 WORD_RE = re.compile(r"[^\W_]+")
 
@@ -68,6 +69,14 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[float, int]:
     return best / (2 * len(item)), end
 
 
+def most_score(passage: np.ndarray, item: np.ndarray) -> float:
+    """No alignment scores more: every word of either side is matched once at most."""
+    words, wanted = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(words, passage), len(words) - 1)
+    held = np.bincount(at[words[at] == passage], minlength=len(words))
+    return float(np.minimum(held, wanted).sum()) / len(item)
+
+
 def _item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = [(i, int(h), len(w)) for i, t in zip(b["item_id"], b["text"])
@@ -114,15 +123,17 @@ def _aligned(min_score: float):
                                                           b["item_id"], b["item_text"]):
                 if text not in memo:
                     memo[text] = _codes(words_of(text))
-                score, end = align(_codes(passage.split(" ")), memo[text])
+                codes = _codes(passage.split(" "))
+                if most_score(codes, memo[text]) < min_score:
+                    continue
+                score, end = align(codes, memo[text])
                 if score >= min_score:
                     out.append((doc, item_id, score, start + end))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "score", "end_word"])
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE,
-                 rare_share: float = RARE_SHARE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, item_id, score (0 to 1), end_word: one row per document and item
     found in it (the best alignment)."""
     spark = docs.sparkSession
@@ -144,12 +155,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
         find, f"doc_id {doc_type}, start int, passage string, seeds array<long>"), "passages")
     key = F.xxhash64(F.col("doc_id"), "start", "passage")
     hits = passages.select(key.alias("pid"), F.explode("seeds").alias("seed"))
-    frequency = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("df"))
-    ranked = seeds.join(frequency, "seed").withColumn(
-        "place", F.cume_dist().over(Window.partitionBy("item_id").orderBy("df")))
-    least = F.min("df").over(Window.partitionBy("item_id"))
-    rare = ranked.withColumn("_least", least).filter((F.col("place") <= rare_share) | (F.col("df") == F.col("_least")))
-    pairs = hits.join(rare.select("seed", "item_id"), "seed").select("pid", "item_id").distinct()
+    pairs = hits.join(seeds.select("seed", "item_id"), "seed").select("pid", "item_id").distinct()
     work = (pairs.join(passages.select(key.alias("pid"), "doc_id", "start", "passage"), "pid")
             .join(items.select("item_id", F.col("text").alias("item_text")), "item_id")
             .select("doc_id", "start", "passage", "item_id", "item_text"))
