@@ -185,3 +185,18 @@ def test_decontamination_keeps_edited_copies_beside_exact_ones(spark, docs):
     assert set(out) == want and all(v > 0.9 for v in out.values())
     codes = [np.array([rng.randrange(9) for _ in range(n)], np.uint64) for n in (3, 8, 20, 40) for _ in range(20)]
     assert all(decontaminate.align(a, b)[0] <= decontaminate.most_score(a, b) + 1e-12 for a in codes for b in codes)
+
+
+def test_pii_finds_assigned_secrets_and_handles(docs):
+    hexes = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"
+    found = {60: f'token = "{hexes}"', 61: "password: 'correct horse'", 62: '"api_key": "abcdefgh"', 63: f"see {hexes} there",
+             64: "write to @jane_doe92 soon", 65: "contact @janedoe now", 66: "PASSWORD = swordfish", 67: "pwd=hunter2abc"}
+    plain = {70: "The key: nobody knows it", 71: "see @override there", 72: "my-long-chapter-title-2024 ends", 73: "token of thanks"}
+    rows = [(d, f"é {t} x", "en", "a") for d, t in {**found, **plain}.items()]
+    rows += [(100 + i, f"line @override {i}", "en", "a") for i in range(300)]
+    clean = {r.doc_id: r.text for r in pii.redact(docs(rows)).collect()}
+    assert all(clean[d] == f"é {t} x" for d, t in plain.items())
+    assert clean[60] == "é [secret] x" and clean[61] == "é [secret] x" and clean[62] == 'é "[secret] x' and clean[63] == "é see [secret] there x"
+    assert clean[64] == "é write to [handle] soon x" and clean[65] == "é contact [handle] now x"
+    assert clean[66] == clean[67] == "é [secret] x" and clean[120] == "line @override 20"
+    assert "secret:2:52" in {r.doc_id: r.spans for r in pii.find_pii(docs(rows)).collect()}[60]

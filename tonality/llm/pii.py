@@ -2,12 +2,13 @@
 
 High-recall patterns propose overlapping spans. Base kinds (email, ip, card, phone) are
 decided by their formats. Further spans of kind ``number`` (digit groups), ``handle``
-(@name) and ``secret`` (mixed letters and digits, or a value after ``password=`` and the like) are
-selected by boosted trees over yes/no features of a candidate and the text before it.
+(@name) and ``secret`` (mixed letters and digits, or a value after ``password=``, ``token = "`` and
+the like) are selected by boosted trees over yes/no features of a candidate and the text before it.
 The features take 2 ** len(FEATURES) values at most, so the trees are fitted
 exactly, on counts per feature value over all candidates; labels come from
-the base rules (a candidate that overlaps a base span, or a secret after its cue, is personal). Each
-kind's threshold is the least score from which the precision on those counts is at
+the base rules (a candidate that overlaps a base span is personal), from cues (a secret assigned
+to its cue, a secret or handle right after one) and from the candidate's own form (a handle
+with a digit or underscore, a secret whose characters look drawn at random). Each kind's threshold is the least score from which the precision on those counts is at
 least ``PRECISION``. Everything is DataFrame functions; there is no Python UDF.
 
 Defined results: null or empty texts have no spans (hash of the empty string);
@@ -27,6 +28,8 @@ KINDS = BASE + ("handle", "number", "secret")
 PRECISION = 0.9
 ROUNDS = 12
 RATE = 0.5
+SECRET_NAME = r"(?i:password|passwd|pwd|token|secret|key|apikey|api_key)"
+ASSIGNED = r"[\"']?[\x20\t]{0,8}+[=:]>?[\x20\t]{0,8}+"
 # Possessive forms find the same spans without backtracking over long runs; a run that
 # was tried from its start is not tried again from its middle.
 PATTERNS = {
@@ -36,12 +39,19 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "handle": r"(?<![A-Za-z0-9._%+@-])@[A-Za-z0-9_]{3,30}+",
     "number": r"[0-9]{2,}+(?:[\x20.-][0-9]{2,}+)*+",
-    "secret": r"(?<![A-Za-z0-9_=-])(?:(?:password|passwd|pwd|token|secret|key|apikey|api_key)[=:][^\s,;]{4,}+"
+    "secret": rf"(?<![A-Za-z0-9_=-])(?:{SECRET_NAME}{ASSIGNED}(?:\"[^\"\r\n]{{4,256}}+\"|'[^'\r\n]{{4,256}}+'|[^\s,;]{{4,}}+)"
               r"|(?=[A-Za-z_-]{0,40}[0-9])(?=[0-9_-]{0,40}[A-Za-z])[A-Za-z0-9_-]{16,}+)",
 }
-CUE = r"(?i)(call|phone|tel|mail|contact|card|account|ssn|iban|id|no|number|password|passwd|pwd|token|secret|key)[\s.:=#]*$"
-SECRET_CUE = r"^(?i:password|passwd|pwd|token|secret|key|apikey|api_key)[=:]"
-FEATURES = ("cue", "long", "longer", "separated", "digits_only", "equals", "plus_before", "at_nearby")
+CUE = r"(?i)(call|phone|tel|mail|contact|card|account|ssn|iban|id|no|number|password|passwd|pwd|token|secret|key)[\s.:=#\"']*$"
+# A value after "name: " may be prose; without space, sign = or quotes it needs a digit, except a password.
+SECRET_CUE = (rf"^{SECRET_NAME}(?:[=:]\S|[\"']?[\x20\t]*+(?:=|:[\x20\t]*+(?:[\"']|\S*[0-9])))"
+              r"|^(?i:password|passwd|pwd|apikey|api_key)[\"']?[\x20\t]*+[=:]")
+NAMED = {"secret": rf"(?<![A-Za-z0-9]){SECRET_NAME}[\s.:=#\"'`(\[]*$",
+         "handle": r"(?<![A-Za-z0-9])(?i:mail|contact|account|user|username|handle|nick|follow|message|dm|twitter|instagram"
+                   r"|telegram|mastodon|github)[\s.:=#\"'(]*$"}
+# Bits per character, and changes between letters and digits, of strings drawn at random.
+ENTROPY, CHANGES = 3.0, 4
+FEATURES = ("cue", "long", "longer", "separated", "digits_only", "equals", "plus_before", "at_nearby", "named", "formed")
 
 
 def _digits(value: Column) -> Column:
@@ -86,7 +96,29 @@ def spans_of(kind: str, text: Column) -> Column:
         F.coalesce(F.aggregate(zipped, start, step, lambda acc: acc["got"]), none))
 
 
-def _features(text: Column, s: Column, e: Column, value: Column) -> dict[str, Column]:
+def entropy(value: Column) -> Column:
+    """Shannon entropy of the characters of ``value``, in bits."""
+    n = F.length(value).cast("double")
+
+    def add(total: Column, c: Column) -> Column:
+        share = (n - F.length(F.replace(value, c, F.lit("")))) / n
+        return total - share * F.log2(share)
+
+    return F.aggregate(F.array_distinct(F.regexp_extract_all(value, F.lit(r"(?s)."), F.lit(0))), F.lit(0.0), add)
+
+
+def formed(kind: str, value: Column) -> Column:
+    """Whether the candidate's own form tells its kind, whatever stands around it."""
+    if kind == "handle":
+        return value.rlike(r"[A-Za-z]") & value.rlike(r"[0-9_]")
+    if kind == "secret":
+        changes = F.regexp_count(value, F.lit(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"))
+        # The cheap test comes first.
+        return F.when(changes >= CHANGES, entropy(value) >= ENTROPY).otherwise(F.lit(False))
+    return F.lit(False)
+
+
+def _features(kind: str, text: Column, s: Column, e: Column, value: Column) -> dict[str, Column]:
     # 24 characters on either side are the candidate's context.
     before = F.substring(text, F.greatest(F.lit(1), s - 23), F.least(s, F.lit(24)))
     after = F.substring(text, e + 1, F.lit(24))
@@ -95,6 +127,7 @@ def _features(text: Column, s: Column, e: Column, value: Column) -> dict[str, Co
         "separated": value.rlike(r"[\x20.()-]"), "digits_only": value.rlike(r"^[0-9]+$"),
         "equals": value.rlike(SECRET_CUE), "plus_before": before.rlike(r"\+[0-9\x20()-]*$"),
         "at_nearby": F.concat(before, after).rlike(r"@"),
+        "named": before.rlike(NAMED[kind]) if kind in NAMED else F.lit(False), "formed": formed(kind, value),
     }
 
 
@@ -103,7 +136,7 @@ def with_candidates(docs: DataFrame) -> DataFrame:
     personal). ``code`` packs the yes/no features, ``personal`` is the weak label."""
     text = F.coalesce(F.col("text"), F.lit(""))
     # Texts without a digit or @ hold no base span; a cheap test spares them all patterns.
-    some = text.rlike(r"[0-9@]|(?i:password|passwd|pwd|token|secret|key)[=:]")
+    some = text.rlike(rf"[0-9@]|{SECRET_NAME}{ASSIGNED}\S")
     kind_of = lambda k: F.lit(KINDS.index(k))
     empty = "array<struct<k:int,s:int,e:int>>"
     plain = lambda k: lambda x: F.struct(kind_of(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"))
@@ -112,10 +145,10 @@ def with_candidates(docs: DataFrame) -> DataFrame:
 
     def candidate(k: str):
         def make(x: Column) -> Column:
-            f = _features(text, x["s"], x["e"], x["value"])
+            f = _features(k, text, x["s"], x["e"], x["value"])
             code = sum((F.when(f[n], F.lit(1 << i)).otherwise(F.lit(0)) for i, n in enumerate(FEATURES)), F.lit(0))
             inside = F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-            personal = inside | f["equals"]
+            personal = inside | f["equals"] | f["named"] | f["formed"]
             return F.struct(kind_of(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"),
                             code.alias("code"), personal.alias("personal"))
         return make
