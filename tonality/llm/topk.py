@@ -150,9 +150,9 @@ PACKED = "dim int, node int, part int, center array<double>, radius double, ids
 def _packed(rows: DataFrame, size: int, name: str) -> DataFrame:
     """One row per (dim, node, part) of about ``size`` vectors."""
     counts = rows.groupBy("dim", "node").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts"))
-    # parts of a node come from a hash of the row's id and vector, so copies of one id spread too
+    # parts of a node come from a hash of the row's id and vector alone, so a task that runs again deals them alike
     salted = rows.join(counts, ["dim", "node"]).withColumn(
-        "part", F.pmod(F.xxhash64("id", F.rand(17)), F.col("parts")).cast("int"))
+        "part", F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int"))
     return written(salted.groupBy("dim", "node", "part").applyInPandas(_pack, PACKED), name)
 
 
