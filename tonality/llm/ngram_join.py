@@ -44,6 +44,7 @@ DENSE = 512
 FILTER_BITS = 1 << 24
 TOKEN_BITS = 26
 SALTS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+ROW = "_row_key"
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -279,12 +280,20 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, dens
 
 
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group of linked ones: the smallest
-    doc_id; documents without links stay, repeated rows of a kept doc_id once."""
-    groups = jaccard_components(docs, n, percent).filter(
-        "doc_id IS NOT NULL AND component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    """``docs`` with one row of each group of linked ones: the smallest doc_id (a null one
+    comes last). Rows without links stay, repeated rows of a kept doc_id once."""
+    # Written with its key, so that every later read sees the same one.
+    rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    groups = jaccard_components(rows.select(F.col(ROW).alias("doc_id"), "text"), n, percent)
+    known = rows.select(ROW, "doc_id", F.md5(F.col("text").cast("binary")).alias("_text"))
+    held = groups.withColumnRenamed("doc_id", ROW).join(known, ROW)
+    # Texts without a shingle have no links; of them, rows that repeat in doc_id and text are one group.
+    alone = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    group = F.when(alone, F.struct(F.lit(None).cast("long").alias("c"), F.col("doc_id").cast("string").alias("d"), F.col("_text").alias("t"))).otherwise(
+        F.struct(F.col("component_id").alias("c"), F.lit(None).cast("string").alias("d"), F.lit(None).cast("string").alias("t")))
+    best = held.groupBy(group.alias("_g")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)).alias("best"))
+    return rows.join(best.select(F.col(f"best.{ROW}").alias(ROW)), ROW, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
 
 
 ORACLE = r"""
