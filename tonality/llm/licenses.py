@@ -1,7 +1,7 @@
 """License scan by a positional rare-token index.
 
-Notices are indexed as word -> postings (notice, position), without stop words, each
-word weighted by its IDF over the notices. A file's highest-IDF licence words are looked
+Notices are indexed as word -> postings (notice, position), without stop words and
+lead-in words ("Released under", "subject to the terms of"), each word weighted by its IDF over the notices. A file's highest-IDF licence words are looked
 up; a posting votes for the place where its notice would start (file position less
 notice position), and the weight of the best place over the notice's whole weight is its
 score. A notice is reported at MIN_SCORE or more if its mandatory phrases stand in the
@@ -28,6 +28,8 @@ MIN_SCORE = 0.6
 NEAR_TOP = 0.4
 # Base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+# Words that lead in to a licence's name and tell nothing about which it is.
+LEAD_INS = frozenset("released licensed distributed subject terms".split())
 # Label, mandatory phrases, notice.
 NOTICES = (
     ("mit", ("mit license",), "Released under the MIT License"),
@@ -52,7 +54,7 @@ def words_of(text: str) -> list[str]:
 
 def build_index(notices=NOTICES):
     """(idf per word, postings per word, whole weight per notice)."""
-    stop = set(ENGLISH_STOP_WORDS)
+    stop = LEAD_INS.union(ENGLISH_STOP_WORDS)
     kept = [[(i, w) for i, w in enumerate(words_of(t)) if w not in stop] for _, _, t in notices]
     df: dict[str, int] = {}
     for words in kept:
