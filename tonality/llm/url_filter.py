@@ -1,8 +1,9 @@
 """URL filters with redirect equivalence.
 
 A rule (host, path prefix, verdict) fits its host and all subdomains; the
-longest fitting rule decides a url. Canonical links and refresh redirects found
-in the pages are edges between urls; a url without a rule takes the decision of
+longest fitting rule decides a url. All canonical links and refresh redirects found
+in the pages are edges between urls; their character references are decoded and
+relative ones resolved against the page's ``base`` or its url; a url without a rule takes the decision of
 its connected component: allow if any alias is explicitly allowed, else block if
 any alias is explicitly blocked, else allow.
 
@@ -13,6 +14,12 @@ alike; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import html as entities
+import re
+from collections.abc import Iterator
+from urllib.parse import urljoin
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +29,12 @@ from tonality.llm.components import connected_components
 # (host, path prefix, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-CANONICAL = (r"(?i)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)")
-REFRESH = (r"(?i)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)")
+ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*?"
+VALUE = r"\s*=\s*(\"[^\"]*+\"|'[^']*+'|[^\"'\s>][^\s>]*+)"
+CANONICAL = rf"(?i)<link\b(?={ATTRIBUTES}\srel\s*=\s*[\"']?(?:[^\"'>]*\s)?canonical\b){ATTRIBUTES}\shref{VALUE}"
+REFRESH = rf"(?i)<meta\b(?={ATTRIBUTES}\shttp-equiv\s*=\s*[\"']?\s*refresh\b){ATTRIBUTES}\scontent{VALUE}"
+PAGE_BASE = rf"(?i)<base\b{ATTRIBUTES}\shref{VALUE}"
+REFRESH_URL = re.compile(r"""\s*[\d.]*\s*[;,]?\s*url\s*=\s*(?:"([^"]*)"?|'([^']*)'?|(.*))""", re.I | re.S)
 
 
 def rest_of(url: Column) -> Column:
@@ -55,16 +66,42 @@ def _node(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(host_of(url), path_of(url), query))
 
 
+def _value(found: str) -> str:
+    """The text of an attribute's value as it stands in the page."""
+    if found[:1] in ("'", '"') and found[-1:] == found[:1]:
+        found = found[1:-1]
+    return entities.unescape(found).strip()
+
+
+def target(url: str, base: str, found: str, refresh: bool) -> str | None:
+    """The absolute url a link or redirect of the page ``url`` leads to, if there is one."""
+    to = _value(found)
+    if refresh:
+        m = REFRESH_URL.match(to)
+        to = (m[1] or m[2] or m[3] or "").strip() if m else ""
+    if not to:
+        return None
+    try:
+        to = urljoin(urljoin(url, _value(base)) if base else url, to)
+    except ValueError:  # not a url, such as http://[x
+        return None
+    return to if "://" in to else None
+
+
+def _resolved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({"u": b["url"], "v": [target(*x) for x in zip(b["url"], b["base"], b["found"], b["refresh"])]})
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(u, v) urls joined by a canonical link or a refresh redirect; targets
-    starting with ``/`` are on the page's own host."""
-    links = F.array(*[F.regexp_extract(F.col("html"), p, 1) for p in (CANONICAL, REFRESH)])
-    marked = pages.filter(F.col("html").rlike(r"(?i)canonical|http-equiv"))
-    to = marked.select("url", F.explode(links).alias("to")).filter("to <> ''")
-    absolute = F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to"))).when(
-        F.col("to").startswith("/"), F.concat(F.lit("http://"), host_of(F.col("url")), F.col("to"))
-    ).otherwise(F.col("to"))
-    return to.select(F.col("url").alias("u"), absolute.alias("v")).filter(F.locate("://", F.col("v")) > 0)
+    """(u, v) urls joined by a canonical link or a refresh redirect."""
+    html = F.col("html")
+    marks = lambda refresh: lambda x: F.struct(x.alias("found"), F.lit(refresh).alias("refresh"))
+    links = F.concat(*[F.transform(F.regexp_extract_all(html, F.lit(p), F.lit(1)), marks(refresh))
+                       for p, refresh in ((CANONICAL, False), (REFRESH, True))])
+    marked = pages.filter(html.rlike(r"(?i)canonical|http-equiv") & F.col("url").isNotNull())
+    to = marked.select("url", F.regexp_extract(html, PAGE_BASE, 1).alias("base"), F.explode(links).alias("to"))
+    return to.select("url", "base", "to.found", "to.refresh").mapInPandas(_resolved, "u string, v string").filter("v IS NOT NULL")
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
