@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_mod
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 SURVEY_EXACT = ("scan_reviews_json parse_score_lines scores_roundtrip project_reviews unquote_lines "
                 "drop_header label_three_class label_binary label_raw join_scores split_by_key tokenize "

@@ -5,7 +5,7 @@ from tonality.operators.features import (document_frequency, inverse_document_fr
                                          term_frequency, tfidf)
 from tonality.plans.checks import kept_tokens
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_term_space_idf_equals_mllib_idf(spark):

@@ -7,7 +7,7 @@ from tonality.schemas import RUN_REPORT
 from tonality.sources.review_files import write_review_csv
 from tonality.sources.reviews import standin_reviews, write_reviews_json
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_jobs_end_to_end(spark, tmpdir_fresh):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tonality.operators.lexicon import document_scores, lexicon_tables, sentence_scores, word_roles
 from tonality.plans.checks import FIXTURE_BOOSTERS, FIXTURE_LEXICON, FIXTURE_NEGATORS
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 LEX = dict(FIXTURE_LEXICON)
 BOO = dict(FIXTURE_BOOSTERS)

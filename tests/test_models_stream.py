@@ -12,7 +12,7 @@ from tonality.session import scratch_path
 from tonality.sources.models import load_model, save_model
 from tonality.streaming.score_stream import score_new_files
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 SMALL = dict(num_features=1 << 12)
 

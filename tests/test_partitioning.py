@@ -3,7 +3,7 @@
 from tonality.plans.classifier import MIN_ROWS_PER_FIT_PARTITION, fit_partitions
 from tonality.session import spark_parallelism, spread, table
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_spread_raises_small_scans_only(spark):

@@ -5,7 +5,7 @@ from tonality.fixed import NLTK_ENGLISH_STOP_WORDS
 from tonality.functions.text import (default_stop_words, remove_stop_words, split_sentences,
                                      strip_punctuation, tokenize)
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 EDGE = ["", "a  b. B\tC ", "   ", "good", "x. y! z?", "Hello WORLD", " lead", "tab\tend\t"]
 
