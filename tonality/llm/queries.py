@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tonality.llm import decontaminate, html_text, language, licenses, mix, ngram_join, pii, repeats, topk, url_filter
+from tonality.llm import decontaminate, html_text, language, licenses, merkle, mix, ngram_join, pii, repeats, topk, url_filter
 from tonality.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.cut_repeats(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_html_text": op2_html_text,
@@ -62,6 +66,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_repeats": op10_repeats,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -69,4 +74,5 @@ ORACLE_SQL = {
     "op4_exact_top_k": topk.ORACLE,
     "op7_mix_sources": mix.ORACLE.format(docs="documents"),
     "op9_ngram_join": ngram_join.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
