@@ -175,7 +175,8 @@ def manifest(docs: DataFrame, key: str = "doc_id", group: str = "source", fields
     size = ARITY ** LEVELS
     blocks = placed.select("_g", F.expr(f"_at div {size}").alias("_block")).distinct()
     outer = tree.paths(blocks, "_block", "path")
-    tops = over.paths(sources, "_at", "top_path").join(F.broadcast(over.tops.select(F.col("digest").alias("root"))))
+    root = over.tops.first()
+    tops = over.paths(sources, "_at", "top_path").withColumn("root", F.lit(root.digest if root else None).cast("string"))
     tops = tops.select(F.col("_name").alias("_g"), F.col("digest").alias("subroot"), "root", "top_path")
     outer = outer.join(tops, "_g").toDF("_of_g", "_of_block", "path", "subroot", "root", "top_path")
     leaves = placed.select("_g", F.expr(f"_at div {size}").alias("_block"), F.col("_order").cast("string").alias("_key"),

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tonality.llm import decontaminate, html_text, language, licenses, merkle, mix, ngram_join, pii, repeats, topk, url_filter
+from tonality.llm import (decontaminate, html_text, language, licenses, merkle, mix, ngram_join, pii, repeats,
+                          substring_dedup, topk, url_filter)
 from tonality.llm.common import table
 
 
@@ -55,6 +56,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_html_text": op2_html_text,
@@ -67,6 +73,7 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_repeats": op10_repeats,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_substring_dedup": op13_substring_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -75,4 +82,5 @@ ORACLE_SQL = {
     "op7_mix_sources": mix.ORACLE.format(docs="documents"),
     "op9_ngram_join": ngram_join.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
+    "op13_substring_dedup": substring_dedup.ORACLE,
 }
