@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from tonality.llm.common import written
 
 WINDOW = 13
-CHUNK_WORDS = 1 << 20
-BUCKET_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 19
+BUCKET_WORDS = 1 << 19
 FANOUT = 1024
 BYTES_A_WORD = 6
 SLICE_BYTES = 1 << 22
