@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from tonality.llm import rolling
 from tonality.llm import substring_dedup as sd
 
 
@@ -71,7 +72,7 @@ def test_rounds_cover_the_buckets():
 def test_slices_do_not_change_codes(monkeypatch):
     import numpy as np
     raw = np.frombuffer(words(random.Random(3), 500).encode(), np.uint8)
-    first, after = sd.words(raw)
-    whole = sd.word_codes(raw, first, after)
-    monkeypatch.setattr(sd, "SLICE_BYTES", 16)
-    assert (sd.word_codes(raw, first, after) == whole).all() and len(set(whole.tolist())) == len({bytes(raw[a:b]) for a, b in zip(first, after)})
+    first, after = rolling.words(raw)
+    whole = rolling.word_codes(raw, first, after)
+    monkeypatch.setattr(rolling, "SLICE_BYTES", 16)
+    assert (rolling.word_codes(raw, first, after) == whole).all() and len(set(whole.tolist())) == len({bytes(raw[a:b]) for a, b in zip(first, after)})

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tonality.llm import (decontaminate, html_text, language, licenses, merkle, mix, ngram_join, pii, repeats,
-                          substring_dedup, topk, url_filter)
+from tonality.llm import (collocations, decontaminate, html_text, language, licenses, merkle, mix, ngram_join, pii,
+                          repeats, substring_dedup, topk, url_filter)
 from tonality.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.cut_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_repeats": op10_repeats,
+    "op11_collocations": op11_collocations,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_substring_dedup": op13_substring_dedup,
     "pipeline": corpus_pipeline.run,
@@ -81,6 +86,7 @@ ORACLE_SQL = {
     "op4_exact_top_k": topk.ORACLE,
     "op7_mix_sources": mix.ORACLE.format(docs="documents"),
     "op9_ngram_join": ngram_join.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
     "op13_substring_dedup": substring_dedup.ORACLE,
 }
