@@ -12,9 +12,9 @@ chunk, the phrases that start in its own part (the first ``owned`` words), weigh
 chunk's frequency, counts every occurrence in the corpus once.
 
 Plan: one pass parses the texts into chunks; an aggregation makes the dictionary, which is written.
-Level by level (1 to 5 words) the dictionary is read, and 64-bit hashes of those phrases are
-summed whose parts both passed the level before; the hashes that reach ``MIN_COUNT`` form a filter of
-fixed maximal size. The last pass counts the phrases themselves, by their words, where
+For words, for pairs and for all longer phrases the dictionary is read, and 64-bit hashes of those
+phrases are summed whose words and pairs passed before; the hashes that reach ``MIN_COUNT`` form a
+filter of fixed maximal size. The last pass counts the phrases themselves, by their words, where
 the filters let them through. A filter lets every frequent phrase pass and is no part of the
 result: a full one costs more rows. Scores, drops and ranks are joins and windows over frequent
 phrases only, in decimals.
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonality.llm.common import LOWER, UPPER, written
-from tonality.llm.rolling import bit_filter, mix64, passes, window_hashes, word_codes, words
+from tonality.llm.rolling import bit_filter, mix64, passes, prefix_sums, window_hashes, word_codes, words
 
 MAX_WORDS = 5
 TRIGGER = MAX_WORDS - 1
@@ -45,7 +45,9 @@ MIN_COUNT = 100
 TOP = 2000
 UND = "und"
 BATCH_BYTES = 6 << 20
+HELD = 1 << 21
 SALTS = 16
+PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("f", pa.int64())])
 
 # A-Z to lower case, what ends a piece to a line feed, tabs to spaces.
 FOLD = bytes(10 if c in b".,;:!?\n\v\f\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -58,8 +60,8 @@ def chunks_of(texts: list[bytes], period: int = PERIOD) -> tuple[list[bytes], np
     first, after = words(raw)
     if not len(first):
         return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-    piece = np.searchsorted(np.flatnonzero(raw == 10), first)
-    h = window_hashes(word_codes(raw, first, after), TRIGGER)
+    piece = np.cumsum(raw == 10, dtype=np.int32)[first]
+    h = window_hashes(prefix_sums(word_codes(raw, first, after)), TRIGGER)
     trigger = np.zeros(len(first), bool)
     trigger[:len(h)] = (h % np.uint64(period) == 0) & (piece[:len(h)] == piece[TRIGGER - 1:])
     new_piece = np.concatenate(([True], piece[1:] != piece[:-1]))
@@ -106,21 +108,21 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", period:
 class _Chunks:
     """A run of dictionary rows as arrays over their words."""
 
-    def __init__(self, lang: list[str], owned: np.ndarray, chunk: list[bytes], freq: np.ndarray):
-        self.data = b"\n".join(chunk)
+    def __init__(self, rows: pa.Table):
+        self.data = b"\n".join(rows["chunk"].cast(pa.binary()).to_pylist())
         raw = np.frombuffer(self.data, np.uint8)
         self.first, self.after = words(raw)
-        self.codes = word_codes(raw, self.first, self.after)
-        self.of = np.searchsorted(np.flatnonzero(raw == 10), self.first)
-        place = np.arange(len(self.of)) - np.searchsorted(self.of, np.arange(len(chunk)))[self.of]
-        self.own = place < owned[self.of]
-        self.freq = freq[self.of]
-        self.lang = lang
-        names, which = np.unique(np.array(lang, dtype=object).astype(str), return_inverse=True)
-        name_first = np.cumsum([0, *[len(n.encode()) + 1 for n in names]])
-        joined = np.frombuffer(b"\n".join(n.encode() for n in names), np.uint8)
-        seed = word_codes(joined, name_first[:-1], name_first[1:] - 1)
-        self.seed = seed[which][self.of]
+        self.sums = prefix_sums(word_codes(raw, self.first, self.after))
+        # No chunk is empty, and line feeds stand only between them.
+        new = np.concatenate(([True], raw[self.first[1:] - 1] == 10))
+        self.of = np.cumsum(new) - 1
+        own = np.arange(len(new)) - np.flatnonzero(new)[self.of] < rows["owned"].to_numpy()[self.of]
+        self.own, self.freq = own, rows["freq"].to_numpy()
+        named = rows["lang"].combine_chunks().dictionary_encode()
+        self.names, self.lang = named.dictionary, named.indices.to_numpy()
+        joined = [n.encode() for n in self.names.to_pylist()]
+        ends = np.cumsum([0, *[len(n) + 1 for n in joined]])
+        self.seeds = word_codes(np.frombuffer(b"\n".join(joined), np.uint8), ends[:-1], ends[1:] - 1)[self.lang]
 
     def hashes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Per place: whether a phrase of n words of one chunk starts there, and its hash."""
@@ -130,12 +132,12 @@ class _Chunks:
             m = len(self.of) - n + 1
             there[:m] = self.of[:m] == self.of[n - 1:]
             with np.errstate(over="ignore"):
-                h[:m] = mix64(window_hashes(self.codes, n) + self.seed[:m] * np.uint64(2 * n + 1))
+                h[:m] = mix64(window_hashes(self.sums, n) + self.seeds[self.of[:m]] * np.uint64(2 * n + 1))
         return there, h
 
     def levels(self, filters: list[np.ndarray], upto: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(n, places, hashes) for n to ``upto``: phrases whose parts of n - 1 words pass, and that pass
-        themselves where there is a filter for n."""
+        """(n, places, hashes) for n to ``upto``: phrases whose parts of n - 1 words were let through, and that
+        pass themselves where there is a filter for n."""
         ok = None
         for n in range(1, upto + 1):
             there, h = self.hashes(n)
@@ -151,52 +153,70 @@ class _Chunks:
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunks]:
     held, size = [], 0
-
-    def flush() -> _Chunks:
-        t = pa.Table.from_batches(held)
-        return _Chunks(t["lang"].to_pylist(), t["owned"].to_numpy(), t["chunk"].cast(pa.binary()).to_pylist(), t["freq"].to_numpy())
-
     for b in batches:
         held.append(b)
         size += b["chunk"].nbytes
         if size >= BATCH_BYTES:
-            yield flush()
+            yield _Chunks(pa.Table.from_batches(held))
             held, size = [], 0
     if sum(b.num_rows for b in held):
-        yield flush()
+        yield _Chunks(pa.Table.from_batches(held))
 
 
 def _summed(h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashes, the sum of their weights, and a place of each."""
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     s = h[order]
     cut = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
     return s[cut], np.add.reduceat(weight[order], cut), order[cut]
 
 
-def _hash_counts(filters, n: int):
+def _hash_counts(filters, low: int, high: int):
+    """(h, c) of phrases of ``low`` to ``high`` words, summed over HELD hashes at a time."""
+    def sums(held: list[tuple]) -> pa.RecordBatch:
+        h, count, _ = _summed(*(np.concatenate(x) for x in zip(*held)))
+        return pa.record_batch([pa.array(h.view(np.int64)), pa.array(count, pa.int64())], ["h", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for c in _runs(batches):
-            for level, at, h in c.levels(filters.value, n):
-                if level == n and len(at):
-                    h, count, _ = _summed(h, c.freq[at])
-                    yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(count, pa.int64())], ["h", "c"])
+            for n, at, h in c.levels(filters.value, high):
+                if n >= low and len(at):
+                    h, count, _ = _summed(h, c.freq[c.of[at]])
+                    held.append((h, count))
+                    size += len(h)
+            if size >= HELD:
+                yield sums(held)
+                held, size = [], 0
+        if held:
+            yield sums(held)
     return run
 
 
 def _phrase_counts(filters):
+    """(lang, phrase, k, f), summed over HELD phrases at a time."""
+    def sums(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        t = pa.concat_tables(held).group_by(["lang", "phrase", "k"]).aggregate([("f", "sum")])
+        t = t.rename_columns(["lang", "phrase", "k", "f"]).select(["lang", "phrase", "k", "f"])
+        yield from t.cast(PHRASES).to_batches(max_chunksize=50_000)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for c in _runs(batches):
             for n, at, h in c.levels(filters.value, len(filters.value)):
                 if not len(at):
                     continue
-                _, count, some = _summed(h, c.freq[at])
+                _, count, some = _summed(h, c.freq[c.of[at]])
                 at = at[some]
                 found = [c.data[a:b] for a, b in zip(c.first[at].tolist(), c.after[at + n - 1].tolist())]
-                lang = [c.lang[i] for i in c.of[at].tolist()]
-                yield pa.record_batch([pa.array(lang, pa.string()), pa.array(found, pa.binary()).cast(pa.string()),
-                                       pa.array(np.full(len(at), n), pa.int32()), pa.array(count, pa.int64())],
-                                      ["lang", "phrase", "k", "f"])
+                held.append(pa.table([c.names.take(pa.array(c.lang[c.of[at]])), pa.array(found, pa.binary()).cast(pa.string()),
+                                      pa.array(np.full(len(at), n), pa.int32()), pa.array(count, pa.int64())], schema=PHRASES))
+                size += len(at)
+            if size >= HELD:
+                yield from sums(held)
+                held, size = [], 0
+        if held:
+            yield from sums(held)
     return run
 
 
@@ -204,13 +224,14 @@ def frequent_phrases(entries: DataFrame, min_count: int = MIN_COUNT, max_words:
     """lang, phrase, k (words), f for every phrase of up to ``max_words`` words with f >= min_count. Written."""
     context = entries.sparkSession.sparkContext
     filters: list[np.ndarray] = []
-    for n in range(1, max_words + 1):
-        counted = entries.mapInArrow(_hash_counts(context.broadcast(filters), n), "h long, c long")
-        often = written(counted.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= min_count).select("h"), f"frequent-{n}")
+    # Words, pairs, then all longer phrases whose pairs passed: three passes instead of one per length.
+    for low, high in ((1, 1), (2, 2), (3, max_words)):
+        counted = entries.mapInArrow(_hash_counts(context.broadcast(filters), low, high), "h long, c long")
+        often = written(counted.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= min_count).select("h"), f"frequent-{low}")
         found, flags = bit_filter(often, "h")
         if not found:
             break
-        filters.append(flags)
+        filters += [flags] * (high - low + 1)
     counted = entries.mapInArrow(_phrase_counts(context.broadcast(filters)), "lang string, phrase string, k int, f long")
     return written(counted.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count), "phrases")
 

@@ -26,9 +26,18 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.cumprod(np.concatenate(([np.uint64(1)], np.full(max(n - 1, 0), base, np.uint64))), dtype=np.uint64)[:n]
+    """The first n powers of ``base``; up to a slice's length they are kept."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        with np.errstate(over="ignore"):
+            held = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, base, np.uint64))), dtype=np.uint64)
+        if n <= SLICE_BYTES + 1:
+            _POWERS[base] = held
+    return held[:n]
 
 
 def words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,13 +62,18 @@ def word_codes(raw: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndar
     return out
 
 
-def window_hashes(codes: np.ndarray, window: int) -> np.ndarray:
-    """Rabin-Karp hash of the ``window`` codes from every place on, rolled by prefix sums."""
-    n = len(codes) - window + 1
+def prefix_sums(codes: np.ndarray) -> np.ndarray:
+    """Sums of code * B**-i, from which the hash of any window follows."""
+    with np.errstate(over="ignore"):
+        return np.concatenate(([np.uint64(0)], np.cumsum(codes * powers(INVERSE, len(codes)), dtype=np.uint64)))
+
+
+def window_hashes(sums: np.ndarray, window: int) -> np.ndarray:
+    """Rabin-Karp hash of the ``window`` codes from every place on, rolled by their prefix sums."""
+    n = len(sums) - window
     if n <= 0:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        sums = np.concatenate(([np.uint64(0)], np.cumsum(codes * powers(INVERSE, len(codes)), dtype=np.uint64)))
         return mix64((sums[window:] - sums[:n]) * powers(BASE, n))
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonality.llm.common import written
-from tonality.llm.rolling import window_hashes, word_codes, words
+from tonality.llm.rolling import prefix_sums, window_hashes, word_codes, words
 
 WINDOW = 13
 CHUNK_WORDS = 1 << 19
@@ -57,7 +57,7 @@ def chunk_windows(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarr
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     text_of = np.searchsorted(np.cumsum(np.array([len(t) + 1 for t in texts])), first, "right")
     begin = np.searchsorted(text_of, np.arange(len(texts)))
-    h = window_hashes(word_codes(raw, first, after), window)
+    h = window_hashes(prefix_sums(word_codes(raw, first, after)), window)
     whole = np.flatnonzero(text_of[:len(h)] == text_of[window - 1:])
     of = text_of[whole]
     return h[whole], of, whole - begin[of]
