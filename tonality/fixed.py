@@ -50,9 +50,32 @@ QUESTION_WEIGHT = 0.18               # per "?" when there are 2 or 3
 QUESTION_MANY = 0.96                 # when there are more than 3 "?"
 NORMALIZATION_ALPHA = 15.0           # compound = s / sqrt(s*s + alpha)
 NEUTRAL_BAND = 0.05                  # |compound| below this counts as neutral
+FACTOR_DAMPING = (1.0, 0.5, 0.0)     # share of a factor's excess over 1 at distance 1, 2, 3
 NEGATION_SUFFIX = "n't"              # a word containing this negates
 CONTRAST_WORD = "but"
 
+# --- fixed values: phrases of the published rules ---
+# (phrase, valence, incr, neg, factor, near): idioms with a valence of their own, boosters
+# of two words, "never so / this" as a factor, units without any role, and "least",
+# which negates the next word only.
+PUBLISHED_PHRASES = (
+    ("the shit", 3.0, None, False, None, False),
+    ("the bomb", 3.0, None, False, None, False),
+    ("bad ass", 1.5, None, False, None, False),
+    ("yeah right", -2.0, None, False, None, False),
+    ("cut the mustard", 2.0, None, False, None, False),
+    ("kiss of death", -1.5, None, False, None, False),
+    ("hand to mouth", -2.0, None, False, None, False),
+    ("kind of", None, -0.293, False, None, False),
+    ("sort of", None, -0.293, False, None, False),
+    ("never so", None, None, False, 1.5, False),
+    ("never this", None, None, False, 1.5, False),
+    ("without doubt", None, None, False, None, False),
+    ("at least", None, None, False, None, False),
+    ("very least", None, None, False, None, False),
+    ("least", None, None, False, None, True),
+)
+
 # ASCII punctuation stripped from token edges (Python's string.punctuation).
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 

@@ -25,9 +25,14 @@ Plan, one pass over the text and no shuffle of it:
    result does not depend on the summation order; partial aggregation sends
    one row per task and document, so a hot document id stays cheap.
 
-Left out of the published rules: idioms and "kind of", "least",
-"never so / this" and "without doubt" special cases, emoji translation. The
-``but`` rule uses word positions.
+Words of the tables that hold spaces are phrases: before the rules run, the
+longest phrases of a sentence merge into units (``operators.phrases``), which
+then act like words. That covers idioms, "kind of", "at least" and "without
+doubt"; "never so / this" are units with a factor, "least" negates the next
+word only (``fixed.PUBLISHED_PHRASES``). Left out of the published rules:
+emoji translation. The ``but`` rule uses positions of units.
+
+Both paths give one row per sentence of every input row, repeated rows included.
 """
 
 from __future__ import annotations
@@ -37,12 +42,13 @@ from pyspark.sql import functions as F
 
 from tonality.functions.arrays import explode_values, explode_with_position
 from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREMENT,
-                            CONTRAST_WORD, EXCLAMATION_MAX, EXCLAMATION_WEIGHT,
+                            CONTRAST_WORD, EXCLAMATION_MAX, EXCLAMATION_WEIGHT, FACTOR_DAMPING,
                             NEGATION_SCALAR, NEGATION_SUFFIX, NEUTRAL_BAND,
                             NORMALIZATION_ALPHA, QUESTION_MANY, QUESTION_WEIGHT)
 from tonality.functions.text import count_char, split_sentences, strip_punctuation
 from tonality.operators.joins import MAX_BROADCAST_ROWS, row_count_at_most
-from tonality.schemas import BOOSTERS, LEXICON, NEGATORS  # noqa: F401
+from tonality.operators.phrases import merge_by_join, merge_in_row, normal_phrase
+from tonality.schemas import BOOSTERS, LEXICON, NEGATORS, PHRASES  # noqa: F401
 
 LOOKBACK = 3
 SALT_BUCKETS = 16
@@ -52,23 +58,30 @@ MAX_INLINE_WORDS = 100_000
 
 
 def word_roles(lexicon: DataFrame, boosters: DataFrame | None = None,
-               negators: DataFrame | None = None) -> DataFrame:
-    """One row per lower-case word: ``w, valence, incr, neg`` (one union, one
-    ``groupBy``). A word listed twice keeps its largest value."""
-    parts = [lexicon.select(F.lower("token").alias("w"), F.col("valence").cast("double").alias("valence"),
-                            F.lit(None).cast("double").alias("incr"), F.lit(False).alias("neg"))]
+               negators: DataFrame | None = None, phrases: DataFrame | None = None) -> DataFrame:
+    """One row per lower-case word or phrase: ``w, valence, incr, neg, factor,
+    near`` (one union, one ``groupBy``). A word listed twice keeps its largest
+    value. ``phrases`` has ``schemas.PHRASES``; a phrase may have any role or
+    none, in which case its words only lose their own."""
+    def part(df: DataFrame, word: str, **roles) -> DataFrame:
+        kinds = {"valence": "double", "incr": "double", "neg": "boolean", "factor": "double", "near": "boolean"}
+        fill = {"neg": False, "near": False}
+        return df.select(normal_phrase(F.col(word)).alias("w"), *[
+            F.coalesce(roles.get(r, F.lit(fill.get(r))).cast(t), F.lit(fill.get(r)).cast(t)).alias(r)
+            for r, t in kinds.items()])
+
+    parts = [part(lexicon, "token", valence=F.col("valence"))]
     if boosters is not None:
-        parts.append(boosters.select(F.lower("token").alias("w"), F.lit(None).cast("double").alias("valence"),
-                                     F.col("incr").cast("double").alias("incr"), F.lit(False).alias("neg")))
+        parts.append(part(boosters, "token", incr=F.col("incr")))
     if negators is not None:
-        parts.append(negators.select(F.lower("token").alias("w"), F.lit(None).cast("double").alias("valence"),
-                                     F.lit(None).cast("double").alias("incr"), F.lit(True).alias("neg")))
+        parts.append(part(negators, "token", neg=F.lit(True)))
+    if phrases is not None:
+        parts.append(part(phrases, "phrase", **{c: F.col(c) for c in PHRASES.names[1:]}))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     return (rows.filter(F.col("w").isNotNull()).groupBy("w")
-            .agg(F.max("valence").alias("valence"), F.max("incr").alias("incr"),
-                 F.max("neg").alias("neg")))
+            .agg(*[F.max(c).alias(c) for c in ("valence", "incr", "neg", "factor", "near")]))
 
 
 def punctuation_emphasis(sentence: Column) -> Column:
@@ -121,14 +134,17 @@ def sentence_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return explode_with_position(rows, F.col("sentences"), ["doc_id", "thash"], "sid", "sentence")
 
 
-def _word_rows(sentences: DataFrame, scoring_words: list[str] | None = None) -> DataFrame:
-    # Sentences from split_sentences are trimmed and never hold an empty
-    # word, so a plain split on whitespace runs gives the words.
-    raw = F.split(F.col("sentence"), r"\s+")
-    per_sentence = sentences.select(
+def _words(sentences: DataFrame) -> DataFrame:
+    """(doc_id, thash, sid, punct, words). Sentences from split_sentences are
+    trimmed and never hold an empty word, so a plain split on whitespace runs
+    gives the words."""
+    return sentences.select(
         "doc_id", "thash", "sid",
         punctuation_emphasis(F.col("sentence")).alias("punct"),
-        F.transform(raw, strip_punctuation).alias("words"))
+        F.transform(F.split(F.col("sentence"), r"\s+"), strip_punctuation).alias("words"))
+
+
+def _word_rows(per_sentence: DataFrame, scoring_words: list[str] | None = None) -> DataFrame:
     per_sentence = per_sentence.select(
         "doc_id", "thash", "sid", "punct", "words",
         F.transform("words", F.lower).alias("lw"))
@@ -155,7 +171,8 @@ def _word_rows(sentences: DataFrame, scoring_words: list[str] | None = None) ->
 def _lookup(rows: DataFrame, roles: DataFrame, key: str, prefix: str,
             broadcast: bool) -> DataFrame:
     side = roles.select(F.col("w").alias(key), F.col("valence").alias(f"{prefix}v"),
-                        F.col("incr").alias(f"{prefix}b"), F.col("neg").alias(f"{prefix}n"))
+                        F.col("incr").alias(f"{prefix}b"), F.col("neg").alias(f"{prefix}n"),
+                        F.col("factor").alias(f"{prefix}f"), F.col("near").alias(f"{prefix}x"))
     if broadcast:
         return rows.join(F.broadcast(side), key, "left")
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "sid"), F.lit(SALT_BUCKETS)))
@@ -163,6 +180,14 @@ def _lookup(rows: DataFrame, roles: DataFrame, key: str, prefix: str,
     return salted_rows.join(salted_side, [key, "_salt"], "left").drop("_salt")
 
 
+def _after_role(boosted: Column, negated: Column, near: Column, factor: Column, d: int) -> Column:
+    """A boosted valence after the word at distance ``d``: negated, or scaled by its factor."""
+    turned = negated | near if d == 1 else negated
+    scale = F.lit(1.0) + (factor - 1.0) * FACTOR_DAMPING[d - 1]
+    return (F.when(turned, boosted * NEGATION_SCALAR).when(factor.isNotNull(), boosted * scale)
+            .otherwise(boosted))
+
+
 def _signed(v: Column, amount: float) -> Column:
     return F.when(v > 0, F.lit(amount)).otherwise(F.lit(-amount))
 
@@ -181,7 +206,7 @@ def _valence_rules(hits: DataFrame) -> DataFrame:
                   + F.when(pu & F.col("cap_diff"), _signed(v, CAPS_INCREMENT)).otherwise(F.lit(0.0)))
         boosted = v + F.when(pb.isNotNull(), scalar * BOOSTER_DAMPING[d - 1]).otherwise(F.lit(0.0))
         negated = F.coalesce(pn, F.lit(False)) | prev.contains(NEGATION_SUFFIX)
-        stepped = F.when(negated, boosted * NEGATION_SCALAR).otherwise(boosted)
+        stepped = _after_role(boosted, negated, F.coalesce(F.col(f"r{d}x"), F.lit(False)), F.col(f"r{d}f"), d)
         out = out.withColumn("v", F.when(applies, stepped).otherwise(v))
     but = (F.when((F.col("but_at") >= 0) & (F.col("pos") < F.col("but_at")), F.col("v") * BUT_BEFORE)
            .when((F.col("but_at") >= 0) & (F.col("pos") > F.col("but_at")), F.col("v") * BUT_AFTER)
@@ -241,7 +266,8 @@ def _in_row_tables(rows) -> dict | None:
     """Word tables as literal sets, or None when a table has too many values."""
     vgroups: dict[float, list[str]] = {}
     bgroups: dict[float, list[str]] = {}
-    lexicon_words, negators = [], []
+    fgroups: dict[float, list[str]] = {}
+    lexicon_words, negators, near = [], [], []
     for r in rows:
         if r.valence is not None:
             lexicon_words.append(r.w)
@@ -251,19 +277,19 @@ def _in_row_tables(rows) -> dict | None:
             bgroups.setdefault(r.incr, []).append(r.w)
         if r.neg:
             negators.append(r.w)
-    if len(vgroups) > MAX_VALUE_GROUPS or len(bgroups) > MAX_VALUE_GROUPS:
+        if r.near:
+            near.append(r.w)
+        if r.factor is not None:
+            fgroups.setdefault(r.factor, []).append(r.w)
+    if max(len(vgroups), len(bgroups), len(fgroups)) > MAX_VALUE_GROUPS:
         return None
-    return {"v": vgroups, "b": bgroups, "lex": sorted(lexicon_words),
+    return {"v": vgroups, "b": bgroups, "f": fgroups, "near": sorted(near), "lex": sorted(lexicon_words),
             "neg": sorted(negators), "scoring": sorted(w for ws in vgroups.values() for w in ws)}
 
 
-def _in_row_sentence_scores(sentences: DataFrame, t: dict) -> DataFrame:
+def _in_row_sentence_scores(per: DataFrame, t: dict) -> DataFrame:
     """Per sentence, in the sentence's own row (no join, no shuffle)."""
     lexicon_words, negators, scoring = t["lex"], t["neg"], t["scoring"]
-    per = sentences.select(
-        "doc_id", "thash", "sid",
-        punctuation_emphasis(F.col("sentence")).alias("punct"),
-        F.transform(F.split(F.col("sentence"), r"\s+"), strip_punctuation).alias("words"))
     per = per.select("doc_id", "thash", "sid", "punct", "words",
                      F.transform("words", F.lower).alias("lw"))
     per = per.select("doc_id", "thash", "sid", "punct", "lw",
@@ -291,8 +317,13 @@ def _in_row_sentence_scores(sentences: DataFrame, t: dict) -> DataFrame:
                       .otherwise(F.lit(0.0)))
             boosted = v + F.when(pb.isNotNull(), scalar * BOOSTER_DAMPING[d - 1]).otherwise(F.lit(0.0))
             negated = prev.isin(negators) | prev.contains(NEGATION_SUFFIX)
-            return F.when(applies, F.when(negated, boosted * NEGATION_SCALAR).otherwise(boosted)) \
-                .otherwise(v)
+            near = prev.isin(t["near"]) if t["near"] else F.lit(False)
+            factor = _lookup_expr(prev, t["f"])
+            if not t["f"] and not (t["near"] and d == 1):   # the common case: a shorter expression
+                stepped = F.when(negated, boosted * NEGATION_SCALAR).otherwise(boosted)
+            else:
+                stepped = _after_role(boosted, negated, near, factor, d)
+            return F.when(applies, stepped).otherwise(v)
         return step
 
     for d in range(1, LOOKBACK + 1):
@@ -326,8 +357,8 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
     distinct values) are applied in the sentence's own row as hashed
     membership tests: no join and no shuffle. Otherwise (or with
     ``in_row=False``) words become rows that meet the tables in broadcast
-    (or salted) joins and regroup per sentence; there an exact duplicate
-    row (same id and text) folds into one sentence group."""
+    (or salted) joins and regroup per sentence, and rows folded there
+    (same id and text) come out as often as they went in."""
     # One bounded read answers both size questions for the usual small table.
     head = roles.limit(MAX_INLINE_WORDS + 1).collect()
     scoring_words = None
@@ -338,25 +369,32 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
                                    if r.valence is not None and r.incr is None)
     else:
         small = row_count_at_most(roles, max_broadcast_rows)
+    words = _words(sentence_table(df, id_col, text_col))
+    has_phrases = F.col("w").contains(" ")
+    if len(head) <= MAX_INLINE_WORDS:
+        words = merge_in_row(words, [r.w for r in head if " " in r.w])
+    else:
+        words = merge_by_join(words, roles.filter(has_phrases), ["doc_id", "thash", "sid"])
     if in_row and scoring_words is not None:
         tables = _in_row_tables(head)
         if tables is not None:
-            per_sentence = _in_row_sentence_scores(sentence_table(df, id_col, text_col), tables)
+            per_sentence = _in_row_sentence_scores(words, tables)
             return per_sentence.select(F.col("doc_id").alias(id_col), "thash", "sid", "m",
                                        "compound", "pos", "neu", "neg")
     if small:
         # Proven small: kept in memory once, so the four broadcast lookups
         # below do not each recompute it.
         roles = roles.cache()
-    words = _word_rows(sentence_table(df, id_col, text_col), scoring_words)
-    first = _lookup(words, roles.select("w", "valence", "incr", F.lit(None).cast("boolean").alias("neg")),
-                    "w", "r0", small)
+    words = _word_rows(words, scoring_words)
+    first = _lookup(words, roles.withColumn("neg", F.lit(None).cast("boolean")), "w", "r0", small)
     hits = first.filter((F.col("pos") < 0) | (F.col("r0v").isNotNull() & F.col("r0b").isNull()))
-    hits = hits.withColumnRenamed("r0v", "valence").drop("r0b", "r0n")
+    hits = hits.withColumnRenamed("r0v", "valence").drop("r0b", "r0n", "r0f", "r0x")
     for d in range(1, LOOKBACK + 1):
         hits = _lookup(hits, roles, f"p{d}", f"r{d}", small)
     per_sentence = _sentence_scores(_valence_rules(hits))
-    return per_sentence.select(F.col("doc_id").alias(id_col), "thash", "sid", "m",
+    # Repeated rows folded into one group come out as rows again.
+    per_sentence = per_sentence.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("m").cast("int"))))
+    return per_sentence.select(F.col("doc_id").alias(id_col), "thash", "sid", F.lit(1).cast("bigint").alias("m"),
                                "compound", "pos", "neu", "neg")
 
 
@@ -388,7 +426,8 @@ def polarity_class(score: Column, classes: int = 3) -> Column:
 
 def lexicon_tables(spark: SparkSession, lexicon: list[tuple[str, float]],
                    boosters: list[tuple[str, float]] = (),
-                   negators: list[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   negators: list[str] = (), phrases: list[tuple] = ()) -> tuple[DataFrame, ...]:
     return (spark.createDataFrame(list(lexicon), LEXICON),
             spark.createDataFrame(list(boosters), BOOSTERS),
-            spark.createDataFrame([(w,) for w in negators], NEGATORS))
+            spark.createDataFrame([(w,) for w in negators], NEGATORS),
+            spark.createDataFrame(list(phrases), PHRASES))

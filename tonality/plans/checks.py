@@ -47,6 +47,13 @@ FIXTURE_LEXICON = (("this", 1.9), ("that", -1.5), ("from", 2.3), ("with", 0.8),
                    ("by", -2.1), ("was", -0.6))
 FIXTURE_BOOSTERS = (("is", 0.293), ("on", -0.293))
 FIXTURE_NEGATORS = ("it", "be")
+# Phrases of 2 to 4 words that overlap there, one for each role (schemas.PHRASES).
+FIXTURE_PHRASES = (("of the", 1.2, None, False, None, False), ("the and attion to", -1.8, None, False, None, False),
+                   ("attion to", 0.9, None, False, None, False), ("the the the", None, None, False, None, False),
+                   ("the the", 0.7, None, False, None, False), ("and the", None, None, True, None, False),
+                   ("in the", None, None, False, 1.5, False), ("the anea", -0.9, None, False, None, False),
+                   ("of of", None, 0.293, False, None, False), ("the of", None, None, False, None, True),
+                   ("and", None, None, False, None, True))
 HEADER = "review"
 ASSEMBLED_NUM_FEATURES = 4096   # dense view of the assembled vector stays small
 HASHED_CHECK_FEATURES = 1024    # per-document totals do not depend on bucket count
@@ -259,6 +266,12 @@ def q_lexicon_sentence(spark, sf):
     return s.select("doc_id", F.col("sid").cast("bigint").alias("sid"), "compound", "pos", "neu", "neg")
 
 
+def q_lexicon_phrases(spark, sf):
+    roles = word_roles(*lexicon_tables(spark, FIXTURE_LEXICON, FIXTURE_BOOSTERS, FIXTURE_NEGATORS, FIXTURE_PHRASES))
+    s = sentence_scores(documents(spark, sf), roles)
+    return s.select("doc_id", F.col("sid").cast("bigint").alias("sid"), "compound", "pos", "neu", "neg")
+
+
 def q_lexicon_doc_mean(spark, sf):
     return document_scores(documents(spark, sf), fixture_roles(spark))
 
@@ -356,6 +369,7 @@ QUERIES = {
     "sentences_exploded": q_sentences_exploded,
     "lexicon_sentence": q_lexicon_sentence,
     "lexicon_doc_mean": q_lexicon_doc_mean,
+    "lexicon_phrases": q_lexicon_phrases,
     "metrics_micro": q_metrics_micro,
     "metrics_weighted": q_metrics_weighted,
     "confusion_matrix": q_confusion_matrix,

@@ -11,13 +11,13 @@ rounded results add 0.0 (which turns -0.0 into 0.0).
 from __future__ import annotations
 
 from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREMENT,
-                            EXCLAMATION_MAX, EXCLAMATION_WEIGHT, NEGATION_SCALAR,
+                            EXCLAMATION_MAX, EXCLAMATION_WEIGHT, FACTOR_DAMPING, NEGATION_SCALAR,
                             NEGATION_SUFFIX, NEUTRAL_BAND, NLTK_ENGLISH_STOP_WORDS,
                             NORMALIZATION_ALPHA, PUNCTUATION, QUESTION_MANY,
                             QUESTION_WEIGHT, SPLIT_SEED, SPLIT_WEIGHTS)
 from tonality.functions.text import default_stop_words
 from tonality.plans.checks import (FIXTURE_BOOSTERS, FIXTURE_LEXICON, FIXTURE_NEGATORS,
-                                   HEADER, METRIC_DIGITS)
+                                   FIXTURE_PHRASES, HEADER, METRIC_DIGITS)
 from tonality.sources.scores import SCORE_LINE
 
 
@@ -73,19 +73,42 @@ IDF = ("idf AS (SELECT term, df, CASE WHEN df >= 5 THEN ln((CAST((SELECT count(*
        " / (CAST(df AS DOUBLE) + 1.0::DOUBLE)) ELSE 0.0::DOUBLE END AS idf FROM dfreq)")
 
 
-def _roles_values() -> str:
+def _roles_values(phrases=()) -> str:
     roles: dict[str, list] = {}
     for w, v in FIXTURE_LEXICON:
-        roles.setdefault(w.lower(), [None, None, False])[0] = v
+        roles.setdefault(w.lower(), [None, None, False, None, False])[0] = v
     for w, b in FIXTURE_BOOSTERS:
-        roles.setdefault(w.lower(), [None, None, False])[1] = b
+        roles.setdefault(w.lower(), [None, None, False, None, False])[1] = b
     for w in FIXTURE_NEGATORS:
-        roles.setdefault(w.lower(), [None, None, False])[2] = True
-    rows = []
-    for w, (v, b, n) in roles.items():
-        rows.append(f"({lit(w)}, {dbl(v) if v is not None else 'NULL::DOUBLE'}, "
-                    f"{dbl(b) if b is not None else 'NULL::DOUBLE'}, {'true' if n else 'false'})")
-    return "roles(w, valence, incr, neg) AS (VALUES " + ", ".join(rows) + ")"
+        roles.setdefault(w.lower(), [None, None, False, None, False])[2] = True
+    for w, *given in phrases:
+        held = roles.setdefault(w.lower(), [None, None, False, None, False])
+        held[:] = [x if x not in (None, False) else h for x, h in zip(given, held)]
+
+    def number(x):
+        return dbl(x) if x is not None else "NULL::DOUBLE"
+
+    rows = [f"({lit(w)}, {number(v)}, {number(b)}, {str(n).lower()}, {number(f)}, {str(x).lower()})"
+            for w, (v, b, n, f, x) in roles.items()]
+    return "roles(w, valence, incr, neg, factor, near) AS (VALUES " + ", ".join(rows) + ")"
+
+
+def _merged_words(phrases) -> str:
+    """``words`` with phrases merged, as CTE ``sm`` over ``s1``: unit lengths per word, then a
+    string of what each unit still covers, whose zeros end units."""
+    if not phrases:
+        return ""
+    long = [p[0] for p in phrases if " " in p[0]]
+    length = "CASE " + " ".join(
+        f"WHEN list_contains({str_list([p for p in long if p.count(' ') == n - 1])}, array_to_string(low[i:i + {n - 1}], ' ')) THEN {n}"
+        for n in (4, 3, 2)) + " ELSE 1 END"
+    return f"""
+sl AS (SELECT *, list_transform(words, lambda x: lower(x)) AS low FROM s1),
+sn AS (SELECT *, list_transform(range(1, len(low) + 1), lambda i: {length}) AS ns FROM sl),
+sr AS (SELECT *, list_reduce(list_prepend('0', list_transform(ns, lambda x: (x - 1)::VARCHAR)),
+       lambda a, x: a || CASE WHEN right(a, 1) > '0' THEN (right(a, 1)::INT - 1)::VARCHAR ELSE x END) AS r FROM sn),
+sm AS (SELECT doc_id, sid, sentence, list_transform(list_filter(range(1, len(ns) + 1), lambda i: r[i] = '0'),
+       lambda i: array_to_string(words[i:i + ns[i] - 1], ' ')) AS words FROM sr),"""
 
 
 def _strip(x: str) -> str:
@@ -101,7 +124,7 @@ def _signed(v: str, amount: float) -> str:
     return f"(CASE WHEN {v} > 0 THEN {dbl(amount)} ELSE {dbl(-amount)} END)"
 
 
-def lexicon_ctes(source: str) -> str:
+def lexicon_ctes(source: str, phrases=()) -> str:
     """CTEs ending in ``sent_scores(doc_id, sid, compound, pos, neu, neg)`` and
     ``doc_scores(doc_id, vader, n)`` for ``source(doc_id, text)``."""
     bangs = f"least({_count('sentence', '!')}, {EXCLAMATION_MAX})"
@@ -117,14 +140,19 @@ def lexicon_ctes(source: str) -> str:
         boosted = (f"({v} + CASE WHEN r{d}b IS NOT NULL THEN {scalar} * {dbl(BOOSTER_DAMPING[d - 1])} "
                    f"ELSE 0.0::DOUBLE END)")
         negated = f"(coalesce(r{d}n, false) OR contains(p{d}, {lit(NEGATION_SUFFIX)}))"
+        if d == 1:
+            negated = f"({negated} OR coalesce(r{d}x, false))"
+        scaled = f"{boosted} * (1.0::DOUBLE + (r{d}f - 1.0::DOUBLE) * {dbl(FACTOR_DAMPING[d - 1])})"
         step = (f"CASE WHEN p{d} IS NOT NULL AND r{d}v IS NULL THEN "
-                f"(CASE WHEN {negated} THEN {boosted} * {dbl(NEGATION_SCALAR)} ELSE {boosted} END) "
+                f"(CASE WHEN {negated} THEN {boosted} * {dbl(NEGATION_SCALAR)} "
+                f"WHEN r{d}f IS NOT NULL THEN {scaled} ELSE {boosted} END) "
                 f"ELSE {v} END")
         steps.append(f"v{d} AS (SELECT * REPLACE ({step} AS v) FROM {prev})")
         prev = f"v{d}"
     lags = ", ".join(f"lag(w, {d}) OVER win AS p{d}, lag(up, {d}) OVER win AS u{d}" for d in range(1, 4))
     joins = " ".join(f"LEFT JOIN roles r{d} ON r{d}.w = t2.p{d}" for d in range(1, 4))
-    rcols = ", ".join(f"r{d}.valence AS r{d}v, r{d}.incr AS r{d}b, r{d}.neg AS r{d}n" for d in range(1, 4))
+    rcols = ", ".join(f"r{d}.valence AS r{d}v, r{d}.incr AS r{d}b, r{d}.neg AS r{d}n, "
+                      f"r{d}.factor AS r{d}f, r{d}.near AS r{d}x" for d in range(1, 4))
     alpha = dbl(NORMALIZATION_ALPHA)
 
     def reduce(expr, cond):
@@ -132,14 +160,14 @@ def lexicon_ctes(source: str) -> str:
                 f"lambda a, b: a + b, 0.0::DOUBLE)")
 
     return f""",
-{_roles_values()},
+{_roles_values(phrases)},
 s AS (SELECT doc_id, CAST(UNNEST(range(len(a))) AS BIGINT) AS sid, UNNEST(a) AS sentence
       FROM (SELECT doc_id, {sentences()} AS a FROM {source})),
 s1 AS (SELECT doc_id, sid, sentence,
        list_transform(list_filter(regexp_split_to_array(sentence, '\\s+'), lambda x: x <> ''), lambda x: {_strip('x')}) AS words
-       FROM s),
+       FROM s),{_merged_words(phrases)}
 s2 AS (SELECT doc_id, sid, {punct} AS punct, list_transform(words, lambda x: lower(x)) AS lw,
-       list_transform(words, lambda x: upper(x) = x AND lower(x) <> x) AS caps FROM s1),
+       list_transform(words, lambda x: upper(x) = x AND lower(x) <> x) AS caps FROM {'sm' if phrases else 's1'}),
 s3 AS (SELECT doc_id, sid, punct, lw, caps, len(lw) AS n_tok,
        len(lw) > 0 AND len(list_filter(caps, lambda c: c)) > 0 AND len(list_filter(caps, lambda c: c)) < len(lw) AS cap_diff,
        coalesce(list_position(lw, 'but'), 0) - 1 AS but_at FROM s2),
@@ -268,6 +296,8 @@ SELECT {acc} AS accuracy, {wp} AS weighted_precision, {wr} AS weighted_recall, {
         "sentences_exploded": exploded("documents", sentences(), "sid", "sentence"),
         "lexicon_sentence": (f"WITH {DOC_SOURCE}{lexicon_ctes('docsrc')} "
                              f"SELECT doc_id, sid, compound, pos, neu, neg FROM sent_scores"),
+        "lexicon_phrases": (f"WITH {DOC_SOURCE}{lexicon_ctes('docsrc', FIXTURE_PHRASES)} "
+                            "SELECT doc_id, sid, compound, pos, neu, neg FROM sent_scores"),
         "lexicon_doc_mean": f"WITH {DOC_SOURCE}{lexicon_ctes('docsrc')} SELECT doc_id, vader, n FROM doc_scores",
         "metrics_micro": (_pred(3) + f"SELECT {_r(acc)} AS accuracy, {_r(acc)} AS precision, "
                           f"{_r(acc)} AS recall, {_r(acc)} AS f1, "

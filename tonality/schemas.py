@@ -1,6 +1,6 @@
 """Explicit schemas: no inference pass over the input, and types cannot drift."""
 
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField,
+from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, StructField,
                                StructType)
 
 # JSON review record (all fields nullable, as the review dump has them).
@@ -33,6 +33,15 @@ BOOSTERS = StructType([
 
 NEGATORS = StructType([StructField("token", StringType())])
 
+PHRASES = StructType([
+    StructField("phrase", StringType()),
+    StructField("valence", DoubleType()),
+    StructField("incr", DoubleType()),
+    StructField("neg", BooleanType()),
+    StructField("factor", DoubleType()),
+    StructField("near", BooleanType()),
+])
+
 STREAM_REVIEW = StructType([StructField("review", StringType())])
 
 RUN_REPORT = StructType([
