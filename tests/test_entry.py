@@ -14,7 +14,7 @@ SURVEY_EXACT = ("scan_reviews_json parse_score_lines scores_roundtrip project_re
                 "drop_header label_three_class label_binary label_raw join_scores split_by_key tokenize "
                 "stop_words_default stop_words_custom hashed_tf_totals term_frequency document_frequency "
                 "inverse_document_frequency tfidf_terms sentences_exploded lexicon_sentence "
-                "lexicon_doc_mean lexicon_phrases metrics_micro metrics_weighted confusion_matrix binary_counts").split()
+                "sentences_learned lexicon_doc_mean lexicon_phrases metrics_micro metrics_weighted confusion_matrix binary_counts").split()
 SURVEY_PROPERTY = ("split_random assembled_features lr_predict lr_with_lexicon model_roundtrip "
                    "ablation_report run_report stream_score_reviews").split()
 

@@ -76,6 +76,12 @@ PUBLISHED_PHRASES = (
     ("least", None, None, False, None, True),
 )
 
+# --- fixed values: learnt sentence boundaries (Kiss & Strunk 2006) ---
+PERIOD_GIVEN_ABBREVIATION = 0.99     # assumed rate of a final period in an abbreviation
+ABBREVIATION_SCORE = 0.3             # least score of an abbreviation
+STARTER_SCORE = 30.0                 # least log-likelihood ratio of a sentence starter
+COLLOCATION_SCORE = 7.88             # least log-likelihood ratio of a pair around a period
+
 # ASCII punctuation stripped from token edges (Python's string.punctuation).
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 

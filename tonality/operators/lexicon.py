@@ -46,6 +46,7 @@ from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREME
                             NEGATION_SCALAR, NEGATION_SUFFIX, NEUTRAL_BAND,
                             NORMALIZATION_ALPHA, QUESTION_MANY, QUESTION_WEIGHT)
 from tonality.functions.text import count_char, split_sentences, strip_punctuation
+from tonality.operators.boundaries import BoundaryModel, learned_sentences
 from tonality.operators.joins import MAX_BROADCAST_ROWS, row_count_at_most
 from tonality.operators.phrases import merge_by_join, merge_in_row, normal_phrase
 from tonality.schemas import BOOSTERS, LEXICON, NEGATORS, PHRASES  # noqa: F401
@@ -123,11 +124,16 @@ def _anchor_item() -> Column:
     return F.struct(*fields)
 
 
-def sentence_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, thash, sid, sentence): ``posexplode`` of the sentence split.
+def sentence_table(df: DataFrame, id_col: str, text_col: str,
+                   boundaries: BoundaryModel | None = None) -> DataFrame:
+    """(id, thash, sid, sentence): ``posexplode`` of the sentence split, by
+    marks alone or by learnt ``boundaries``.
 
     Per-row values are projected before the generator, so no sentence row
     carries (or re-hashes) the whole text."""
+    if boundaries is not None:
+        rows = learned_sentences(df, boundaries, id_col, text_col, hash_col="thash")
+        return rows.select(F.col(id_col).alias("doc_id"), "thash", "sid", "sentence")
     rows = df.select(F.col(id_col).alias("doc_id"),
                      F.xxhash64(F.col(text_col)).alias("thash"),
                      split_sentences(F.col(text_col)).alias("sentences"))
@@ -349,7 +355,7 @@ def _in_row_sentence_scores(per: DataFrame, t: dict) -> DataFrame:
 def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text",
                     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                    in_row: bool = True) -> DataFrame:
+                    in_row: bool = True, boundaries: BoundaryModel | None = None) -> DataFrame:
     """Per sentence: ``id, sid, compound, pos, neu, neg``.
 
     Rows with null text have no sentence. ``roles`` is ``word_roles(...)``.
@@ -369,7 +375,7 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
                                    if r.valence is not None and r.incr is None)
     else:
         small = row_count_at_most(roles, max_broadcast_rows)
-    words = _words(sentence_table(df, id_col, text_col))
+    words = _words(sentence_table(df, id_col, text_col, boundaries))
     has_phrases = F.col("w").contains(" ")
     if len(head) <= MAX_INLINE_WORDS:
         words = merge_in_row(words, [r.w for r in head if " " in r.w])
@@ -401,13 +407,13 @@ def sentence_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
 def document_scores(df: DataFrame, roles: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", score_col: str = "vader",
                     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                    in_row: bool = True) -> DataFrame:
+                    in_row: bool = True, boundaries: BoundaryModel | None = None) -> DataFrame:
     """Per id: mean sentence compound (``score_col``) and sentence count ``n``.
 
     Rows sharing an id are averaged together over all their sentences. The
     only shuffle is this ``groupBy(id)``, partial-aggregated map-side (one
     row per task and id)."""
-    sent = sentence_scores(df, roles, id_col, text_col, max_broadcast_rows, in_row)
+    sent = sentence_scores(df, roles, id_col, text_col, max_broadcast_rows, in_row, boundaries)
     units = F.round(F.col("compound") * 10000).cast("bigint") * F.col("m")
     doc = sent.groupBy(id_col).agg(F.sum(units).alias("units"), F.sum("m").alias("n"))
     return doc.select(id_col, (F.col("units").cast("double") / (F.col("n") * 10000.0)).alias(score_col),

@@ -22,6 +22,7 @@ from tonality.functions.arrays import explode_values, explode_with_position
 from tonality.functions.labels import binary, label, three_class
 from tonality.functions.text import (default_stop_words, remove_stop_words,
                                      split_sentences, tokenize)
+from tonality.operators.boundaries import learn_boundaries, learned_sentences
 from tonality.operators.features import (document_frequency, hashed_term_frequency,
                                          inverse_document_frequency, term_frequency,
                                          tfidf, vector_total)
@@ -261,6 +262,12 @@ def q_sentences_exploded(spark, sf):
             .select("doc_id", F.col("sid").cast("bigint").alias("sid"), "sentence"))
 
 
+def q_sentences_learned(spark, sf):
+    docs = documents(spark, sf)
+    out = learned_sentences(docs, learn_boundaries(docs))
+    return out.select("doc_id", F.col("sid").cast("bigint").alias("sid"), "sentence")
+
+
 def q_lexicon_sentence(spark, sf):
     s = sentence_scores(documents(spark, sf), fixture_roles(spark))
     return s.select("doc_id", F.col("sid").cast("bigint").alias("sid"), "compound", "pos", "neu", "neg")
@@ -367,6 +374,7 @@ QUERIES = {
     "inverse_document_frequency": q_inverse_document_frequency,
     "tfidf_terms": q_tfidf_terms,
     "sentences_exploded": q_sentences_exploded,
+    "sentences_learned": q_sentences_learned,
     "lexicon_sentence": q_lexicon_sentence,
     "lexicon_doc_mean": q_lexicon_doc_mean,
     "lexicon_phrases": q_lexicon_phrases,

@@ -10,11 +10,12 @@ rounded results add 0.0 (which turns -0.0 into 0.0).
 
 from __future__ import annotations
 
-from tonality.fixed import (BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREMENT,
+from tonality.fixed import (ABBREVIATION_SCORE, BOOSTER_DAMPING, BUT_AFTER, BUT_BEFORE, CAPS_INCREMENT,
+                            COLLOCATION_SCORE,
                             EXCLAMATION_MAX, EXCLAMATION_WEIGHT, FACTOR_DAMPING, NEGATION_SCALAR,
                             NEGATION_SUFFIX, NEUTRAL_BAND, NLTK_ENGLISH_STOP_WORDS,
-                            NORMALIZATION_ALPHA, PUNCTUATION, QUESTION_MANY,
-                            QUESTION_WEIGHT, SPLIT_SEED, SPLIT_WEIGHTS)
+                            NORMALIZATION_ALPHA, PERIOD_GIVEN_ABBREVIATION, PUNCTUATION, QUESTION_MANY,
+                            QUESTION_WEIGHT, SPLIT_SEED, SPLIT_WEIGHTS, STARTER_SCORE)
 from tonality.functions.text import default_stop_words
 from tonality.plans.checks import (FIXTURE_BOOSTERS, FIXTURE_LEXICON, FIXTURE_NEGATORS,
                                    FIXTURE_PHRASES, HEADER, METRIC_DIGITS)
@@ -201,6 +202,65 @@ doc_scores AS (SELECT doc_id, CAST(sum(CAST(round(compound * 10000) AS BIGINT))
        / (count(*) * 10000.0::DOUBLE) AS vader, CAST(count(*) AS BIGINT) AS n FROM sent_scores GROUP BY doc_id)"""
 
 
+def _pair_score(a: str, b: str, ab: str, n: str) -> str:
+    """Log-likelihood ratio from four counts, by hypothesis."""
+    def terms(k, of, p):
+        return f"(({k}) * ln({p}) + (({of}) - ({k})) * ln(1.0::DOUBLE - ({p})))"
+
+    p, p1, p2 = f"({b}) / ({n})", f"({ab}) / ({a})", f"CASE WHEN ({n}) > ({a}) THEN (({b}) - ({ab})) / (({n}) - ({a})) ELSE 1.0::DOUBLE END"
+    one = f"CASE WHEN ({a}) = ({ab}) OR {p1} <= 0 OR {p1} >= 1 THEN 0.0::DOUBLE ELSE {terms(ab, a, p1)} END"
+    rest = (f"CASE WHEN ({b}) = ({ab}) OR ({p2}) <= 0 OR ({p2}) >= 1 THEN 0.0::DOUBLE "
+            f"ELSE {terms(f'({b}) - ({ab})', f'({n}) - ({a})', p2)} END")
+    return f"(-2.0::DOUBLE * ({terms(ab, a, p)} + {terms(f'({b}) - ({ab})', f'({n}) - ({a})', p)} - ({one}) - ({rest})))"
+
+
+def learned_sentences_sql() -> str:
+    """Counts, learnt sets and sentences, from the characters of the trimmed text."""
+    def typ(w):
+        return rf"regexp_replace({core(w)}, '\.+$', '')"
+
+    def core(w):
+        return rf"regexp_replace(regexp_replace(lower({w}), '^[^\p{{L}}\p{{N}}]+', ''), '[^\p{{L}}\p{{N}}.]+$', '')"
+
+    def period(w):
+        return rf"regexp_matches({core(w)}, '(^|[^.])\.$')"
+
+    given = dbl(PERIOD_GIVEN_ABBREVIATION)
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM documents WHERE text IS NOT NULL),
+w AS (SELECT unnest(list_filter(regexp_split_to_array(t, '\s+'), lambda x: x <> '')) AS w FROM d),
+ty AS (SELECT typ, count_if(p)::DOUBLE AS nw, count_if(NOT p)::DOUBLE AS no
+       FROM (SELECT {typ('w')} AS typ, {period('w')} AS p FROM w) WHERE typ <> '' GROUP BY typ),
+tot AS (SELECT sum(nw) AS np, sum(nw + no) AS n FROM ty),
+rate AS (SELECT n, least(greatest(np, 0.5::DOUBLE), n - 0.5::DOUBLE) / n AS p FROM tot),
+ab AS (SELECT typ FROM (SELECT typ, no, inn, (length(typ) - inn)::DOUBLE AS letters,
+         -2.0::DOUBLE * ((nw * ln(p) + no * ln(1.0::DOUBLE - p)) - (nw * ln({given}) + no * ln(1.0::DOUBLE - {given}))) AS r
+         FROM (SELECT *, length(typ) - length(replace(typ, '.', '')) AS inn FROM ty) CROSS JOIN rate
+         WHERE nw > 0 AND regexp_matches(typ, '\p{{L}}') AND NOT regexp_matches(typ, '\p{{N}}'))
+       WHERE r * exp(-letters) * (inn + 1.0::DOUBLE) * pow(letters, -no) >= {dbl(ABBREVIATION_SCORE)}),
+g AS (SELECT doc_id, list_filter(regexp_extract_all(t || ' ', '(?s)\s*(?:[^.!?]|[.!?]+[^\s.!?])*(?:[.!?]+|$)'), lambda x: regexp_matches(x, '\S')) AS s
+      FROM d WHERE t <> ''),
+h AS (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM g),
+b AS (SELECT doc_id, i, s[i] AS seg, i = len(s) AS fin, regexp_extract(s[i], '(\S+)\s*$', 1) AS la,
+      regexp_extract(coalesce(s[i + 1], ''), '^\s*(\S+)', 1) AS fi FROM h),
+bt AS (SELECT doc_id, i, seg, fin, {typ('la')} AS x, {typ('fi')} AS y, {period('la')} AS p,
+       regexp_matches(regexp_replace(fi, '^[^\p{{L}}\p{{N}}]+', ''), '^\p{{Lu}}') AS up FROM b),
+pr AS (SELECT x, y, p, count(*)::DOUBLE AS n, p AND x IN (SELECT typ FROM ab) AS a FROM bt WHERE NOT fin GROUP BY x, y, p),
+nb AS (SELECT sum(n) AS k FROM pr WHERE NOT a),
+st AS (SELECT typ FROM (SELECT ty.typ, nw + no AS c, q.n AS k2, nb.k, rate.n AS n
+         FROM (SELECT y, sum(n) AS n FROM pr WHERE NOT a GROUP BY y) q JOIN ty ON ty.typ = q.y CROSS JOIN nb CROSS JOIN rate)
+       WHERE {_pair_score('k', 'c', 'k2', 'n')} >= {dbl(STARTER_SCORE)} AND n / k > c / k2 AND regexp_matches(typ, '^\p{{L}}')),
+co AS (SELECT x, y FROM (SELECT x, y, q.n AS k2, s.nw + s.no AS ca, e.nw + e.no AS cb, rate.n AS n
+         FROM pr q JOIN ty s ON s.typ = q.x JOIN ty e ON e.typ = q.y CROSS JOIN rate
+         WHERE q.p AND (q.a OR regexp_matches(x, '^(\p{{L}}|[\p{{N}}.,-]*\p{{N}})$')) AND y NOT IN (SELECT typ FROM st))
+       WHERE {_pair_score('ca', 'cb', 'k2', 'n')} >= {dbl(COLLOCATION_SCORE)} AND n / ca > cb / k2),
+m AS (SELECT bt.*, NOT fin AND p AND (co.x IS NOT NULL OR (ab.typ IS NOT NULL AND NOT (up AND st.typ IS NOT NULL))) AS tied
+      FROM bt LEFT JOIN ab ON ab.typ = bt.x LEFT JOIN st ON st.typ = bt.y LEFT JOIN co ON co.x = bt.x AND co.y = bt.y),
+k AS (SELECT *, coalesce(sum(CASE WHEN tied THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING
+      AND 1 PRECEDING), 0)::BIGINT AS sid FROM m)
+SELECT doc_id, sid, regexp_replace(string_agg(seg, '' ORDER BY i), '^\s+|\s+$', '', 'g') AS sentence FROM k GROUP BY doc_id, sid"""
+
+
 DOC_SOURCE = "docsrc AS (SELECT doc_id, text FROM documents)"
 REVIEW_SOURCE = "revsrc AS (SELECT review_id AS doc_id, text FROM reviews)"
 
@@ -296,6 +356,7 @@ SELECT {acc} AS accuracy, {wp} AS weighted_precision, {wr} AS weighted_recall, {
         "sentences_exploded": exploded("documents", sentences(), "sid", "sentence"),
         "lexicon_sentence": (f"WITH {DOC_SOURCE}{lexicon_ctes('docsrc')} "
                              f"SELECT doc_id, sid, compound, pos, neu, neg FROM sent_scores"),
+        "sentences_learned": learned_sentences_sql(),
         "lexicon_phrases": (f"WITH {DOC_SOURCE}{lexicon_ctes('docsrc', FIXTURE_PHRASES)} "
                             "SELECT doc_id, sid, compound, pos, neu, neg FROM sent_scores"),
         "lexicon_doc_mean": f"WITH {DOC_SOURCE}{lexicon_ctes('docsrc')} SELECT doc_id, vader, n FROM doc_scores",
