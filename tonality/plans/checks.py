@@ -88,9 +88,12 @@ def review_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scored_reviews(spark: SparkSession, sf: str) -> DataFrame:
-    """``review_id, text, label, vader``: three-class label and lexicon score."""
-    return join_scores(labelled_reviews(spark, sf),
-                       review_scores(spark, sf).select("review_id", "vader"))
+    """``review_id, text, label, vader``: three-class label and lexicon score. The
+    scores are written once, so the training and the test part do not each score
+    all sentences."""
+    path = scratch_path(spark, "review-scores")
+    write_scores(review_scores(spark, sf), path)
+    return join_scores(labelled_reviews(spark, sf), read_scores(spark, path).select("review_id", "vader"))
 
 
 def lexicon_predictions(spark: SparkSession, sf: str, classes: int = 3) -> DataFrame:

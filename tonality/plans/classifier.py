@@ -14,10 +14,14 @@ import math
 import time
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer, VectorAssembler
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import (IDF, HashingTF, StopWordsRemover, Tokenizer, VarianceThresholdSelector,
+                                VectorAssembler)
+from pyspark.ml.linalg import SparseMatrix
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,14 +80,51 @@ def fit_partitions(rows: DataFrame) -> DataFrame:
     return rows
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+def expanded(model: LogisticRegressionModel, occupied: Sequence[int], num_features: int) -> LogisticRegressionModel:
+    """``model``, fitted on the ``occupied`` dimensions only, over all ``num_features``: the other
+    coefficients are 0. The matrix is sparse, so a saved model stays as small as the fit."""
+    compact = model.coefficientMatrix.toArray()
+    columns = np.asarray(occupied, np.int32)
+    held = [np.flatnonzero(row) for row in compact]
+    matrix = SparseMatrix(compact.shape[0], num_features, np.cumsum([0, *map(len, held)]).astype(np.int32),
+                          np.concatenate([columns[h] for h in held]), np.concatenate([row[h] for row, h in zip(compact, held)]),
+                          isTransposed=True)
+    java = model._java_obj
+    sc = SparkSession.active().sparkContext
+    # MLlib has no Python constructor for a model of given coefficients.
+    full = sc._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        java.uid(), _py2java(sc, matrix), _py2java(sc, model.interceptVector), model.numClasses, compact.shape[0] > 1)
+    out = LogisticRegressionModel(full)
+    out._resetUid(model.uid)
+    given = model.extractParamMap()
+    out._set(**{p.name: v for p, v in given.items() if model.isSet(p) and out.hasParam(p.name)})
+    out._transfer_params_to_java()
+    return out
+
+
+COMPACT_COL = "_compact_features"
+
+
+def _without_attributes(df: DataFrame, features_col: str) -> DataFrame:
+    """``df`` without the metadata of its feature vector. ``VectorAssembler`` names each of the 2^18
+    buckets there, and every task of every optimizer pass would deserialise them."""
+    return df.select(*[F.col(c).alias(c, metadata={}) if c == features_col else F.col(c) for c in df.columns])
+
+
+def fit(pipeline: Pipeline, train: DataFrame, compact: bool = True) -> PipelineModel:
     """Fit a chain whose last stage is the classifier.
 
     The feature stages (tokenizer ... IDF [, assembler]) are fitted on the
     training rows with their own partitioning; the feature vectors are then
     computed once and persisted, and only the optimizer's input is
     size-partitioned (``fit_partitions``). Lost blocks are recomputed from the
-    deterministic lineage (the key split is a pure function of the key)."""
+    deterministic lineage (the key split is a pure function of the key).
+
+    With ``compact`` the optimizer sees only dimensions that vary in the training
+    rows (of 2^18 hash buckets, those hit by a term of weight above 0): the
+    others have coefficient 0 in any case. Its gradients and line searches
+    then cost the occupied dimensions, and the coefficients are expanded back, so
+    the fitted chain has the same stages and predictions as without."""
     stages = pipeline.getStages()
     classifier = stages[-1]
     owned = not train.is_cached          # release only what this call persisted
@@ -92,8 +133,17 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     try:
         feature_model = Pipeline(stages=stages[:-1]).fit(train)
         cols = [classifier.getLabelCol(), classifier.getFeaturesCol()]
-        features = fit_partitions(feature_model.transform(train).select(*cols))
-        fitted = classifier.fit(features)
+        features = fit_partitions(_without_attributes(feature_model.transform(train).select(*cols), cols[1]))
+        if not compact:
+            return PipelineModel(stages=[*feature_model.stages, classifier.fit(features)])
+        selector = VarianceThresholdSelector(featuresCol=cols[1], outputCol=COMPACT_COL, varianceThreshold=0.0).fit(features)
+        occupied = selector.selectedFeatures
+        if not occupied:
+            return PipelineModel(stages=[*feature_model.stages, classifier.fit(features)])
+        small = classifier.copy().setFeaturesCol(COMPACT_COL).fit(
+            _without_attributes(selector.transform(features).select(cols[0], COMPACT_COL), COMPACT_COL))
+        n = features.first()[cols[1]].size
+        fitted = expanded(small, occupied, n).setFeaturesCol(cols[1])
         return PipelineModel(stages=[*feature_model.stages, fitted])
     finally:
         if features is not None:
