@@ -16,7 +16,7 @@ SURVEY_EXACT = ("scan_reviews_json parse_score_lines scores_roundtrip project_re
                 "inverse_document_frequency tfidf_terms sentences_exploded lexicon_sentence "
                 "sentences_learned lexicon_doc_mean lexicon_phrases metrics_micro metrics_weighted confusion_matrix binary_counts").split()
 SURVEY_PROPERTY = ("split_random assembled_features lr_predict lr_with_lexicon model_roundtrip "
-                   "ablation_report run_report stream_score_reviews").split()
+                   "ablation_report run_report stream_score_reviews stream_batches").split()
 
 
 def test_registered_keys():

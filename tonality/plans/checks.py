@@ -40,7 +40,9 @@ from tonality.sources.review_files import drop_header, unquote, write_review_csv
 from tonality.sources.reviews import (project_reviews, read_reviews_json, standin_reviews,
                                       write_reviews_json)
 from tonality.sources.scores import read_score_lines, read_scores, write_scores
-from tonality.streaming.score_stream import score_new_files
+from tonality.streaming.batch_sink import folder_writer, start_batches
+from tonality.streaming.score_stream import (read_review_stream, score_new_files, score_stream,
+                                             with_review_key)
 
 # Word tables of FIXTURES.md section 3: frequent words of the English test
 # documents with arbitrary valence (no common sentiment word occurs there).
@@ -356,6 +358,19 @@ def q_stream_score_reviews(spark, sf):
     return spark.read.parquet(f"{base}/out")
 
 
+def q_stream_batches(spark, sf):
+    """The same stream into a per-batch sink, every review with its key and blanks scored."""
+    rows = trainable(labelled_reviews(spark, sf))
+    train, test = split_by_key(rows, "review_id")
+    model = fit(build_classifier(), train)
+    base = scratch_path(spark, "stream-batches")
+    write_review_csv(test.select(F.col("text").alias(HEADER)), f"{base}/in")
+    reviews = with_review_key(read_review_stream(spark, f"{base}/in"))
+    scored = score_stream(reviews, model, keep=("review_key",), blank="score")
+    start_batches(scored, folder_writer(f"{base}/out"), f"{base}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("review_key", "review", "prediction")
+
+
 QUERIES = {
     "scan_reviews_json": q_scan_reviews_json,
     "parse_score_lines": q_parse_score_lines,
@@ -394,4 +409,5 @@ QUERIES = {
     "ablation_report": q_ablation_report,
     "run_report": q_run_report,
     "stream_score_reviews": q_stream_score_reviews,
+    "stream_batches": q_stream_batches,
 }

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tonality.schemas import STREAM_REVIEW
@@ -28,10 +29,23 @@ def read_review_stream(spark: SparkSession, input_dir: str, schema=STREAM_REVIEW
     return reader.csv(input_dir)
 
 
+def with_review_key(reviews: DataFrame, review_col: str = "review", key_col: str = "review_key") -> DataFrame:
+    """Streamed rows plus ``key_col``, by which a score finds its review again: md5 of the file's
+    path and the text (a blank field counts as empty). Equal rows of one file share it."""
+    text = F.coalesce(F.col(review_col), F.lit(""))
+    return reviews.withColumn(key_col, F.md5(F.concat_ws("\n", F.col("_metadata.file_path"), text).cast("binary")))
+
+
 def score_stream(reviews: DataFrame, model: PipelineModel, review_col: str = "review",
-                 keep: tuple[str, ...] = ()) -> DataFrame:
+                 keep: tuple[str, ...] = (), blank: str = "drop") -> DataFrame:
     """``review, prediction`` (plus ``keep`` columns) for each streamed row.
-    Rows with null text are dropped before the tokenizer."""
+
+    A blank field of a CSV file arrives as null, which the tokenizer rejects:
+    ``blank="drop"`` leaves such rows out, ``"score"`` scores them as empty text."""
+    if blank not in ("drop", "score"):
+        raise ValueError("blank must be 'drop' or 'score'")
+    if blank == "score":
+        reviews = reviews.withColumn(review_col, F.coalesce(F.col(review_col), F.lit("")))
     rows = reviews.filter(reviews[review_col].isNotNull())
     rows = rows.withColumnRenamed(review_col, "text") if review_col != "text" else rows
     scored = model.transform(rows)
