@@ -25,15 +25,12 @@ from pyspark.sql import functions as F
 
 from tonality.llm.common import lower_ascii, written
 from tonality.llm.components import connected_components
+from tonality.llm.tags import tags
 
 # (host, path prefix, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*?"
-VALUE = r"\s*=\s*(\"[^\"]*+\"|'[^']*+'|[^\"'\s>][^\s>]*+)"
-CANONICAL = rf"(?i)<link\b(?={ATTRIBUTES}\srel\s*=\s*[\"']?(?:[^\"'>]*\s)?canonical\b){ATTRIBUTES}\shref{VALUE}"
-REFRESH = rf"(?i)<meta\b(?={ATTRIBUTES}\shttp-equiv\s*=\s*[\"']?\s*refresh\b){ATTRIBUTES}\scontent{VALUE}"
-PAGE_BASE = rf"(?i)<base\b{ATTRIBUTES}\shref{VALUE}"
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
 REFRESH_URL = re.compile(r"""\s*[\d.]*\s*[;,]?\s*url\s*=\s*(?:"([^"]*)"?|'([^']*)'?|(.*))""", re.I | re.S)
 
 
@@ -61,9 +58,12 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _node(url: Column) -> Column:
-    """One text per address: scheme and fragment do not count."""
+    """One text per address: scheme, fragment, a scheme's usual port and an empty path do not count."""
     query = F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1)
-    return F.when(host_of(url) != "", F.concat(host_of(url), path_of(url), query))
+    port = F.when(url.rlike(r"(?i)^https:"), F.regexp_replace(host_of(url), ":443$", "")).otherwise(
+        F.regexp_replace(host_of(url), ":80$", ""))
+    path = F.when(path_of(url) == "", F.lit("/")).otherwise(path_of(url))
+    return F.when(host_of(url) != "", F.concat(port, path, query))
 
 
 def _value(found: str) -> str:
@@ -88,20 +88,36 @@ def target(url: str, base: str, found: str, refresh: bool) -> str | None:
     return to if "://" in to else None
 
 
-def _resolved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def references(html: str) -> Iterator[tuple[str, str, bool]]:
+    """(base, value, refresh) of every canonical link and refresh redirect among the page's tags;
+    what stands in comments and scripts is none."""
+    base, found = "", []
+    for tag in tags(html):
+        if tag.closing or tag.name not in ("link", "meta", "base"):
+            continue
+        held: dict[str, str] = {}
+        for name, value in ATTRIBUTE.findall(tag.attributes):
+            held.setdefault(name.lower(), value)
+        if tag.name == "base":
+            base = base or held.get("href", "")
+        elif tag.name == "link" and held.get("href") and "canonical" in _value(held.get("rel", "")).lower().split():
+            found.append((held["href"], False))
+        elif tag.name == "meta" and held.get("content") and _value(held.get("http-equiv", "")).lower() == "refresh":
+            found.append((held["content"], True))
+    for value, refresh in found:
+        yield base, value, refresh
+
+
+def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield pd.DataFrame({"u": b["url"], "v": [target(*x) for x in zip(b["url"], b["base"], b["found"], b["refresh"])]})
+        out = [(url, target(url, *found)) for url, html in zip(b["url"], b["html"]) for found in references(html)]
+        yield pd.DataFrame(out, columns=["u", "v"])
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(u, v) urls joined by a canonical link or a refresh redirect."""
-    html = F.col("html")
-    marks = lambda refresh: lambda x: F.struct(x.alias("found"), F.lit(refresh).alias("refresh"))
-    links = F.concat(*[F.transform(F.regexp_extract_all(html, F.lit(p), F.lit(1)), marks(refresh))
-                       for p, refresh in ((CANONICAL, False), (REFRESH, True))])
-    marked = pages.filter(html.rlike(r"(?i)canonical|http-equiv") & F.col("url").isNotNull())
-    to = marked.select("url", F.regexp_extract(html, PAGE_BASE, 1).alias("base"), F.explode(links).alias("to"))
-    return to.select("url", "base", "to.found", "to.refresh").mapInPandas(_resolved, "u string, v string").filter("v IS NOT NULL")
+    marked = pages.filter(F.col("html").rlike(r"(?i)canonical|http-equiv") & F.col("url").isNotNull())
+    return marked.select("url", "html").mapInPandas(_edges, "u string, v string").filter("v IS NOT NULL")
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
