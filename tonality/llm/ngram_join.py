@@ -5,20 +5,22 @@ when 100 * intersection >= PERCENT * union. Linked documents of size n share
 a token among the first p = n - ceil(PERCENT n / 100) + 1 tokens of each under *any*
 global order of the tokens. So:
 
-1. Equal sets collapse to the smallest doc_id first; only one row per set goes on.
-2. Order 1 (a hash order) gives prefix postings. Each member of a posting is
-   compared with the posting's smallest doc_id: linear work that already joins
-   most near copies into components.
-3. Pairs of members in different components are generated from postings of
-   fewer than ``DENSE`` members, filtered by length and position, and must
-   overlap in the prefixes of two further orders before their sets are compared.
-4. Documents that meet in denser postings form a part of their own, joined under
-   another order: rarest token first, by frequency within that part, with tokens held
-   once removed (they can generate no pair). Again first against one member per posting,
-   then between components. Both parts together lose no link.
-
-Sets and orders are derived from whole texts; sets of documents that need
-verification are read again through a fixed-size filter of doc_ids.
+1. The global orders put frequent tokens last, each order by a hash of its own among the others.
+   Any fixed rule is a valid order, so which tokens count as frequent is learnt from about
+   ``SAMPLE_DOCS`` documents and kept as a filter of bounded size: the sample only decides how short the
+   postings are. Lines and passages that many documents share then enter the prefix of those documents
+   only that consist of them.
+2. Equal sets collapse to the smallest doc_id; only one row per set goes on. The prefixes under the
+   first order give postings; tokens held once drop out by a filter.
+3. Candidates share a prefix token under the first order, close enough in length and position, and
+   under both further orders. First each document is compared with the smallest doc_id it meets, then, where
+   their components still differ, with the smallest of each posting, then all pairs of a posting
+   that are in different components. What a round links, the next need not compare.
+4. Candidates are verified on whole sets, grouped by the smaller document in parts of at most
+   ``GROUP`` partners, so one with thousands of near copies is spread over tasks.
+
+Sets are derived from whole texts; those that need verification are read again through a filter of
+doc_ids of bounded size, which may let others through but loses none.
 
 Defined results: null or empty texts have an empty set and link to nothing; a text
 of fewer than ``n`` words is one n-gram; rows that share a doc_id are one node;
@@ -37,12 +39,13 @@ from pyspark.sql import functions as F
 
 from tonality.llm.common import written
 from tonality.llm.components import connected_components
+from tonality.llm.rolling import bit_filter, passes
 
 N = 4
 PERCENT = 85
-DENSE = 512
-FILTER_BITS = 1 << 24
-TOKEN_BITS = 26
+SAMPLE_DOCS = 8192
+SEEN = 3
+GROUP = 256
 SALTS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 ROW = "_row_key"
 
@@ -94,12 +97,6 @@ def shingle_set(text: str | None, n: int = N) -> np.ndarray:
     return np.unique(mix64(h))
 
 
-def prefixes(s: np.ndarray, percent: int) -> list[np.ndarray]:
-    """The prefixes of a set under the further orders."""
-    p = prefix_length(len(s), percent)
-    return [np.partition(mix64(s ^ np.uint64(k)), p - 1)[:p].view(np.int64) for k in SALTS]
-
-
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + 1 + (-percent * n // 100)
 
@@ -109,93 +106,131 @@ def enough(shared: Column, a: Column, b: Column, percent: int = PERCENT) -> Colu
     return shared * (100 + percent) >= (a + b) * percent
 
 
-def _signatures(n: int, percent: int):
+def prefixes(s: np.ndarray, frequent: np.ndarray, percent: int) -> list[np.ndarray]:
+    """The set's prefix under each order: rare tokens by hash, then frequent ones by hash."""
+    p = prefix_length(len(s), percent)
+    often = passes(frequent, s)
+    out = []
+    for salt in (0, *SALTS):
+        held = []
+        for part in (s[~often], s[often]):
+            want = p - sum(map(len, held))
+            if want > 0 and len(part):
+                key = part if not salt else mix64(part ^ np.uint64(salt))
+                held.append(np.partition(key, want - 1)[:want] if want < len(part) else key)
+        out.append(np.concatenate([np.sort(h) for h in held]))
+    return out
+
+
+def _sampled(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), 500):
+                sets = [shingle_set(t, n) for t in b["text"].iloc[at:at + 500]]
+                yield pd.DataFrame({"token": np.concatenate(sets).view(np.int64)})
+    return run
+
+
+def frequent_tokens(docs: DataFrame, n: int = N, sample_docs: int = SAMPLE_DOCS, seen: int = SEEN) -> np.ndarray:
+    """A filter of the tokens that ``seen`` documents of a random sample hold."""
+    rate = min(1.0, sample_docs / max(1, docs.count()))
+    some = docs.filter("text IS NOT NULL").select("text").filter(F.rand(1) < rate)
+    often = some.mapInPandas(_sampled(n), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= seen)
+    return bit_filter(written(often.select("token"), "frequent-tokens"), "token")[1]
+
+
+def _signatures(n: int, percent: int, frequent):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        none = np.zeros(0, np.int64)
         for b in batches:
             out = []
             for text in b["text"]:
                 s = shingle_set(text, n)
-                p = prefix_length(len(s), percent) if len(s) else 0
+                if not len(s):
+                    out.append((0, 0, 0, none, none.astype(np.int32), none.astype(np.int32)))
+                    continue
                 with np.errstate(over="ignore"):
                     f1 = int((s * np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64).astype(np.int64))
-                    f2 = int(np.bitwise_xor.reduce(mix64(s)).astype(np.int64)) if len(s) else 0
-                out.append((len(s), f1, f2, s[:p].view(np.int64)))
-            sig = pd.DataFrame(out, columns=["n_shingles", "f1", "f2", "top"])
+                f2 = int(np.bitwise_xor.reduce(mix64(s)).astype(np.int64))
+                top, *further = prefixes(s, frequent.value, percent)
+                # The further prefixes only rule pairs out; half of each hash is enough.
+                out.append((len(s), f1, f2, top.view(np.int64), *[(t >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in further]))
+            sig = pd.DataFrame(out, columns=["n_shingles", "f1", "f2", "top", "t1", "t2"])
             sig.insert(0, "doc_id", b["doc_id"].to_numpy())
             yield sig
     return run
 
 
-def _filter(slots: DataFrame, size: int) -> bytes:
-    """``size`` bits, set at the given slots: size / 8 bytes whatever the input."""
-    found = slots.groupBy((F.col("slot") / 64).cast("int").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
-    flags = np.zeros(size // 64, np.int64)
-    flags[found["at"].to_numpy()] = found["bits"].to_numpy()
-    return flags.view(np.uint8).tobytes()
+def _postings(filter_of):
+    """(id, n, pos, token) of the prefix tokens that pass."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sizes = b["top"].map(len).to_numpy()
+            token = np.concatenate([*b["top"], np.zeros(0, np.int64)]).astype(np.int64)
+            of = np.repeat(np.arange(len(b)), sizes)
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = passes(filter_of.value, token.view(np.uint64))
+            of = of[kept]
+            yield pd.DataFrame({"id": b["id"].to_numpy()[of], "n": b["n"].to_numpy()[of], "pos": pos[kept], "token": token[kept]})
+    return run
 
 
-def _id_filter(ids: DataFrame) -> bytes:
-    return _filter(ids.select(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS)).alias("slot")), FILTER_BITS)
+def _linked(percent: int):
+    """The members of a group that link with its ``a``, by whole sets."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        a = group["a"].iloc[0]
+        mine = group["id"] == a
+        centres = [np.asarray(s, np.int64) for s in group.loc[mine, "s"]]
+        out = []
+        for b, s in zip(group.loc[~mine, "id"], group.loc[~mine, "s"]):
+            s = np.asarray(s, np.int64)
+            for c in centres:
+                shared = len(np.intersect1d(s, c, assume_unique=True))
+                if shared * (100 + percent) >= (len(s) + len(c)) * percent:
+                    out.append((a, b))
+                    break
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+    return run
 
 
 class _Join:
     """The rounds of one self-join; all frames below are on shared storage."""
 
-    def __init__(self, docs: DataFrame, n: int, percent: int):
-        self.docs, self.n, self.percent = docs, n, percent
+    def __init__(self, docs: DataFrame, signed: DataFrame, n: int, percent: int, group: int):
+        self.docs, self.signed, self.n, self.percent, self.group = docs, signed, n, percent, group
         self.links: DataFrame | None = None
 
-    def sets_of(self, ids: DataFrame, tops: bool = False, tokens: bytes | None = None) -> DataFrame:
-        """(id, n, s) for the wanted ids, from the whole texts (the filter may let a few
-        others pass; they are documents like any other). With ``tops``, instead of s the
-        prefixes under the further orders as t0, t1; with ``tokens``, a filter of token
-        hashes, s holds only the tokens that pass (n counts all)."""
-        context = self.docs.sparkSession.sparkContext
-        bits = context.broadcast((_id_filter(ids.select(F.col("id").alias("doc_id"))), tokens))
-        n, percent = self.n, self.percent
+    def sets_of(self, ids: DataFrame) -> DataFrame:
+        """(id, s) for the wanted ids, and for a few others that pass the filter."""
+        wanted = self.docs.sparkSession.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64("id").alias("h")), "h")[1])
+        n = self.n
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            flags = np.frombuffer(bits.value[0], np.uint8)
-            twice = np.frombuffer(bits.value[1], np.uint8) if bits.value[1] else None
             for b in batches:
-                slot = b["slot"].to_numpy()
-                b = b[(flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1]
-                if b.empty:
-                    continue
-                sets = [shingle_set(t, n) for t in b["text"]]
-                out = pd.DataFrame({"id": b["doc_id"].to_numpy(), "n": np.array([len(x) for x in sets], np.int64)})
-                if tops:
-                    both = [prefixes(x, percent) if len(x) else [x, x] for x in sets]
-                    yield out.assign(t0=pd.Series([x[0] for x in both], dtype=object),
-                                     t1=pd.Series([x[1] for x in both], dtype=object))
-                    continue
-                if twice is not None:
-                    at = [(x >> np.uint64(64 - TOKEN_BITS)).astype(np.int64) for x in sets]
-                    sets = [x[(twice[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1] for x, i in zip(sets, at)]
-                out["s"] = pd.Series([x.view(np.int64) for x in sets], dtype=object)
-                yield out
-
-        slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
-        shape = "id long, n long, " + ("t0 array<long>, t1 array<long>" if tops else "s array<long>")
-        return self.docs.filter("doc_id IS NOT NULL").select("doc_id", "text", slot.alias("slot")).mapInPandas(run, shape)
-
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The (a, b) of ``pairs`` that link: prefixes under further orders first."""
-        pairs = written(pairs, f"{name}-pairs")
-        ids = lambda: pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        tops = written(self.sets_of(ids(), tops=True).drop("n"), f"{name}-tops")
-        of = lambda frame, side: frame.select(F.col("id").alias(side), *[
-            F.col(c).alias(f"{c}_{side}") for c in frame.columns if c != "id"])
-        pairs = written(pairs.join(of(tops, "a"), "a").join(of(tops, "b"), "b").filter(
-            F.arrays_overlap("t0_a", "t0_b") & F.arrays_overlap("t1_a", "t1_b")).select("a", "b").distinct(), f"{name}-kept")
-        sets = written(self.sets_of(ids()).drop("n"), f"{name}-sets")
-        both = pairs.join(of(sets, "a"), "a").join(of(sets, "b"), "b")
-        shared = F.size(F.array_intersect("s_a", "s_b"))
-        return written(both.filter(enough(shared, F.size("s_a"), F.size("s_b"), self.percent)).select(
-            F.col("a").alias("u"), F.col("b").alias("v")).distinct(), f"{name}-links")
-
-    def add(self, links: DataFrame) -> None:
+                b = b[passes(wanted.value, b["h"].to_numpy().view(np.uint64))]
+                for at in range(0, len(b), 500):
+                    part = b.iloc[at:at + 500]
+                    yield pd.DataFrame({"id": part["doc_id"].to_numpy(), "s": pd.Series(
+                        [shingle_set(t, n).view(np.int64) for t in part["text"]], dtype=object)})
+
+        some = self.docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+        return some.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInPandas(run, "id long, s array<long>")
+
+    def verify(self, pairs: DataFrame, name: str) -> None:
+        """Adds the (a, b) of ``pairs``, a < b, that link: further orders first, then whole sets."""
+        pairs = written(pairs.distinct(), f"{name}-pairs")
+        for side in ("a", "b"):
+            tops = self.signed.select(F.col("doc_id").alias(side), F.col("t1").alias(f"t1_{side}"), F.col("t2").alias(f"t2_{side}"))
+            pairs = pairs.join(tops, side)
+        pairs = pairs.filter(F.arrays_overlap("t1_a", "t1_b") & F.arrays_overlap("t2_a", "t2_b")).select("a", "b").distinct()
+        pairs = written(pairs, f"{name}-kept")
+        parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / self.group).alias("parts"))
+        dealt = pairs.join(parts, "a").select("a", F.col("b").alias("id"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+        centres = parts.select("a", F.col("a").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        need = written(dealt.unionByName(centres), f"{name}-need")
+        ids = written(need.select("id").distinct(), f"{name}-ids")
+        sets = self.sets_of(ids).join(need, "id")
+        links = written(sets.groupBy("a", "part").applyInPandas(_linked(self.percent), "u long, v long"), f"{name}-links")
         self.links = links if self.links is None else self.links.union(links)
 
     def near(self, pa: Column, pb: Column) -> Column:
@@ -205,71 +240,60 @@ class _Join:
                 & (F.col("n_a") * 100 >= F.col("n_b") * self.percent)
                 & (F.col("n_b") * 100 >= F.col("n_a") * self.percent))
 
-    def against_one(self, postings: DataFrame, name: str) -> None:
-        """Every member of a posting against the one with the smallest doc_id."""
-        one = postings.groupBy("token").agg(
-            F.min(F.struct("id", "n", "pos")).alias("one"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-        pairs = postings.join(one.select("token", "one"), "token").select(
+    def against_least(self, postings: DataFrame) -> DataFrame:
+        """Every member of a posting with the smallest doc_id of it: (a, b), close enough."""
+        one = postings.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("one"))
+        pairs = postings.join(one, "token").select(
             F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("one.id").alias("a"),
             F.col("one.n").alias("n_a"), F.col("one.pos").alias("p_a"))
-        pairs = pairs.filter(F.col("a") != F.col("b")).filter(self.near(F.col("p_a"), F.col("p_b")))
-        self.add(self.verified(pairs.select("a", "b").distinct(), f"{name}-one"))
-
-    def across(self, postings: DataFrame, name: str) -> None:
-        """All pairs within a posting that no component joins yet."""
-        comp = written(connected_components(self.links), f"{name}-cc").select(
-            F.col("node").alias("id"), "component")
-        held = postings.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        # Postings within one component have nothing left to compare.
-        mixed = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
-            "lo < hi").select("token")
-        held = written(held.join(mixed, "token", "left_semi"), f"{name}-held")
+        return pairs.filter(F.col("a") != F.col("b")).filter(self.near(F.col("p_a"), F.col("p_b"))).select("a", "b")
+
+    def components(self, name: str) -> DataFrame:
+        return written(connected_components(self.links), f"{name}-cc").select(F.col("node").alias("id"), "component")
+
+    def apart(self, postings: DataFrame, name: str) -> DataFrame:
+        """Postings whose members are in different components, with the component."""
+        held = postings.join(self.components(name), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+        return written(held.join(mixed.select("token"), "token", "left_semi"), f"{name}-held")
+
+    def run(self, postings: DataFrame) -> None:
+        star = written(self.against_least(postings).distinct(), "star")
+        self.verify(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+        comp = self.components("star")
+        both = star
+        for side in ("a", "b"):
+            both = both.join(comp.toDF(side, f"c_{side}"), side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
+        self.verify(both.filter("c_a <> c_b").select("a", "b"), "star")
+        held = self.apart(postings, "across")
         side = lambda s: held.select("token", *[F.col(c).alias(f"{k}_{s}") for c, k in (
             ("id", "id"), ("n", "n"), ("pos", "p"), ("component", "c"))])
         pairs = side("a").join(side("b"), "token").filter(
-            (F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b"))
-            & self.near(F.col("p_a"), F.col("p_b")))
-        pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-        self.add(self.verified(pairs, f"{name}-across"))
+            (F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & self.near(F.col("p_a"), F.col("p_b")))
+        self.verify(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "across")
 
 
-def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, dense: int = DENSE) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_docs: int = SAMPLE_DOCS,
+                       seen: int = SEEN, group: int = GROUP) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    context = docs.sparkSession.sparkContext
+    frequent = context.broadcast(frequent_tokens(docs, n, sample_docs, seen))
     signed = written(docs.mapInPandas(
-        _signatures(n, percent), "doc_id long, n_shingles long, f1 long, f2 long, "
-        "top array<long>"), "signatures")
+        _signatures(n, percent, frequent), "doc_id long, n_shingles long, f1 long, f2 long, "
+        "top array<long>, t1 array<int>, t2 array<int>"), "signatures")
     same = ["n_shingles", "f1", "f2"]
     some = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     first = some.groupBy(*same).agg(F.min("doc_id").alias("id"))
-    classes = written(some.select("doc_id", *same).join(first, same).select("doc_id", "id").distinct(), "classes")
-    reps = some.withColumnRenamed("doc_id", "id").join(first, ["id", *same], "left_semi").dropDuplicates(
-        ["id", *same]).withColumnRenamed("n_shingles", "n")
-    join = _Join(docs, n, percent)
-
-    postings = written(reps.select("id", "n", F.posexplode("top").alias("pos", "token")), "prefixes")
-    counts = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    postings = written(postings.join(counts, "token"), "postings")
-    join.against_one(postings, "near")
-    join.across(postings.filter(F.col("c") < dense), "near")
-
-    crowd = written(postings.filter(F.col("c") >= dense).select("id").distinct(), "crowd")
-    if not crowd.isEmpty():
-        seen = join.sets_of(crowd).select(F.explode("s").alias("token")).groupBy("token").agg(
-            F.count(F.lit(1)).alias("c")).filter("c > 1")
-        twice = _filter(seen.select(F.expr(f"shiftrightunsigned(token, {64 - TOKEN_BITS})").alias("slot")), 1 << TOKEN_BITS)
-        tokens = written(join.sets_of(crowd, tokens=twice).select("id", "n", F.explode("s").alias("token")).distinct(), "crowd-tokens")
-        common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-        ranked = tokens.join(common, "token").groupBy("id", "n").agg(
-            F.array_sort(F.collect_list(F.struct("c", "token"))).alias("t"))
-        alone = F.col("n") - F.size("t")  # tokens held once come first in the order
-        keep = F.col("n") + 1 - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") - alone
-        prefix = ranked.filter(keep > 0).select(
-            "id", "n", alone.alias("alone"), F.posexplode(F.slice("t", F.lit(1), keep)).alias("at", "t"))
-        crowded = written(prefix.select(F.col("t.token").alias("token"), "id", "n",
-                                        (F.col("alone") + F.col("at")).alias("pos")), "crowd-postings")
-        join.against_one(crowded, "crowd")
-        join.across(crowded, "crowd")
+    classes = written(some.select("doc_id", *same).join(first, same).select("doc_id", "id", *same).distinct(), "classes")
+    copies = written(classes.filter("doc_id <> id").select("doc_id", *same), "copies")
+    reps = some.join(copies, ["doc_id", *same], "left_anti")
+    tokens = reps.select(F.explode("top").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    shared = context.broadcast(bit_filter(written(tokens.filter("c > 1").select("token"), "shared-tokens"), "token")[1])
+    postings = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "top").mapInPandas(
+        _postings(shared), "id long, n long, pos long, token long")
+    join = _Join(docs, signed, n, percent, group)
+    join.run(written(postings.distinct(), "postings"))
 
     # Copies of a set join through their class, near copies through links.
     edges = join.links.select("u", "v").union(classes.select(F.col("doc_id").alias("u"), F.col("id").alias("v")))
@@ -295,7 +319,6 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     return rows.join(best.select(F.col(f"best.{ROW}").alias(ROW)), ROW, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-
 ORACLE = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
