@@ -61,7 +61,7 @@ def test_jaccard_components_equal_brute_force(docs):
             if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
-    for settings in ({}, {"sample_docs": 20, "group": 3}, {"seen": 1}, {"seen": 10**9}):
+    for settings in ({}, {"sample_rate": 1.0, "group": 3}, {"seen": 1}, {"seen": 10**9}):
         out = ngram_join.jaccard_components(docs(rows), **settings).collect()
         assert len(out) == len(rows)
         for r in out:

@@ -6,9 +6,9 @@ a token among the first p = n - ceil(PERCENT n / 100) + 1 tokens of each under *
 global order of the tokens. So:
 
 1. The global orders put frequent tokens last, each order by a hash of its own among the others.
-   Any fixed rule is a valid order, so which tokens count as frequent is learnt from about
-   ``SAMPLE_DOCS`` documents and kept as a filter of bounded size: the sample only decides how short the
-   postings are. Lines and passages that many documents share then enter the prefix of those documents
+   Any fixed rule is a valid order, so which tokens count as frequent is learnt from a ``SAMPLE_RATE``
+   of the documents and kept as a filter of bounded size: the sample only decides how short the
+   postings are, and a rate keeps them alike at every size. Lines and passages that many documents share then enter the prefix of those documents
    only that consist of them.
 2. Equal sets collapse to the smallest doc_id; only one row per set goes on. The prefixes under the
    first order give postings; tokens held once drop out by a filter.
@@ -43,7 +43,7 @@ from tonality.llm.rolling import bit_filter, passes
 
 N = 4
 PERCENT = 85
-SAMPLE_DOCS = 8192
+SAMPLE_RATE = 0.125
 SEEN = 3
 GROUP = 256
 SALTS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
@@ -131,10 +131,9 @@ def _sampled(n: int):
     return run
 
 
-def frequent_tokens(docs: DataFrame, n: int = N, sample_docs: int = SAMPLE_DOCS, seen: int = SEEN) -> np.ndarray:
+def frequent_tokens(docs: DataFrame, n: int = N, sample_rate: float = SAMPLE_RATE, seen: int = SEEN) -> np.ndarray:
     """A filter of the tokens that ``seen`` documents of a random sample hold."""
-    rate = min(1.0, sample_docs / max(1, docs.count()))
-    some = docs.filter("text IS NOT NULL").select("text").filter(F.rand(1) < rate)
+    some = docs.filter("text IS NOT NULL").select("text").filter(F.rand(1) < sample_rate)
     often = some.mapInPandas(_sampled(n), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= seen)
     return bit_filter(written(often.select("token"), "frequent-tokens"), "token")[1]
 
@@ -273,12 +272,12 @@ class _Join:
         self.verify(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "across")
 
 
-def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_docs: int = SAMPLE_DOCS,
+def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_rate: float = SAMPLE_RATE,
                        seen: int = SEEN, group: int = GROUP) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     context = docs.sparkSession.sparkContext
-    frequent = context.broadcast(frequent_tokens(docs, n, sample_docs, seen))
+    frequent = context.broadcast(frequent_tokens(docs, n, sample_rate, seen))
     signed = written(docs.mapInPandas(
         _signatures(n, percent, frequent), "doc_id long, n_shingles long, f1 long, f2 long, "
         "top array<long>, t1 array<int>, t2 array<int>"), "signatures")
