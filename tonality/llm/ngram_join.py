@@ -19,8 +19,9 @@ global order of the tokens. So:
 4. Candidates are verified on whole sets, grouped by the smaller document in parts of at most
    ``GROUP`` partners, so one with thousands of near copies is spread over tasks.
 
-Sets are derived from whole texts; those that need verification are read again through a filter of
-doc_ids of bounded size, which may let others through but loses none.
+Sets are derived from whole texts; texts that need verification are read again through a filter of
+doc_ids of bounded size, which may let others through but loses none. They travel compressed, a
+fraction of the size of their sets of 64-bit hashes, which are made where they are compared.
 
 Defined results: null or empty texts have an empty set and link to nothing; a text
 of fewer than ``n`` words is one n-gram; rows that share a doc_id are one node;
@@ -34,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -174,15 +176,16 @@ def _postings(filter_of):
     return run
 
 
-def _linked(percent: int):
+def _linked(n: int, percent: int):
     """The members of a group that link with its ``a``, by whole sets."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         a = group["a"].iloc[0]
         mine = group["id"] == a
-        centres = [np.asarray(s, np.int64) for s in group.loc[mine, "s"]]
+        unpack = zstandard.ZstdDecompressor().decompress
+        centres = [shingle_set(unpack(t).decode("utf-8", "surrogatepass"), n) for t in group.loc[mine, "packed"]]
         out = []
-        for b, s in zip(group.loc[~mine, "id"], group.loc[~mine, "s"]):
-            s = np.asarray(s, np.int64)
+        for b, t in zip(group.loc[~mine, "id"], group.loc[~mine, "packed"]):
+            s = shingle_set(unpack(t).decode("utf-8", "surrogatepass"), n)
             for c in centres:
                 shared = len(np.intersect1d(s, c, assume_unique=True))
                 if shared * (100 + percent) >= (len(s) + len(c)) * percent:
@@ -199,21 +202,19 @@ class _Join:
         self.docs, self.signed, self.n, self.percent, self.group = docs, signed, n, percent, group
         self.links: DataFrame | None = None
 
-    def sets_of(self, ids: DataFrame) -> DataFrame:
-        """(id, s) for the wanted ids, and for a few others that pass the filter."""
+    def texts_of(self, ids: DataFrame) -> DataFrame:
+        """(id, packed text) for the wanted ids, and for a few others that pass the filter."""
         wanted = self.docs.sparkSession.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64("id").alias("h")), "h")[1])
-        n = self.n
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            pack = zstandard.ZstdCompressor().compress
             for b in batches:
                 b = b[passes(wanted.value, b["h"].to_numpy().view(np.uint64))]
-                for at in range(0, len(b), 500):
-                    part = b.iloc[at:at + 500]
-                    yield pd.DataFrame({"id": part["doc_id"].to_numpy(), "s": pd.Series(
-                        [shingle_set(t, n).view(np.int64) for t in part["text"]], dtype=object)})
+                yield pd.DataFrame({"id": b["doc_id"].to_numpy(), "packed": pd.Series(
+                    [pack(t.encode("utf-8", "surrogatepass")) for t in b["text"]], dtype=object)})
 
         some = self.docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-        return some.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInPandas(run, "id long, s array<long>")
+        return some.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInPandas(run, "id long, packed binary")
 
     def verify(self, pairs: DataFrame, name: str) -> None:
         """Adds the (a, b) of ``pairs``, a < b, that link: further orders first, then whole sets."""
@@ -228,8 +229,8 @@ class _Join:
         centres = parts.select("a", F.col("a").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
         need = written(dealt.unionByName(centres), f"{name}-need")
         ids = written(need.select("id").distinct(), f"{name}-ids")
-        sets = self.sets_of(ids).join(need, "id")
-        links = written(sets.groupBy("a", "part").applyInPandas(_linked(self.percent), "u long, v long"), f"{name}-links")
+        texts = self.texts_of(ids).join(need, "id")
+        links = written(texts.groupBy("a", "part").applyInPandas(_linked(self.n, self.percent), "u long, v long"), f"{name}-links")
         self.links = links if self.links is None else self.links.union(links)
 
     def near(self, pa: Column, pb: Column) -> Column:
