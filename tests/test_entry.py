@@ -11,12 +11,12 @@ import __spark_entry__ as entry_mod
 from paths import SF_SMALL
 
 SURVEY_EXACT = ("scan_reviews_json parse_score_lines scores_roundtrip project_reviews unquote_lines "
-                "drop_header label_three_class label_binary label_raw join_scores split_by_key tokenize "
+                "drop_header drop_first_lines label_three_class label_binary label_raw join_scores split_by_key split_exact tokenize "
                 "stop_words_default stop_words_custom hashed_tf_totals term_frequency document_frequency "
                 "inverse_document_frequency tfidf_terms sentences_exploded lexicon_sentence "
-                "sentences_learned lexicon_doc_mean lexicon_phrases metrics_micro metrics_weighted confusion_matrix binary_counts").split()
+                "sentences_learned lexicon_doc_mean lexicon_phrases metrics_micro metrics_weighted confusion_matrix binary_counts paired_interval").split()
 SURVEY_PROPERTY = ("split_random assembled_features lr_predict lr_with_lexicon model_roundtrip "
-                   "ablation_report run_report stream_score_reviews stream_batches").split()
+                   "ablation_report ablation_interval run_report stream_score_reviews stream_batches").split()
 
 
 def test_registered_keys():

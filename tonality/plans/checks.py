@@ -31,12 +31,13 @@ from tonality.operators.lexicon import (document_scores, lexicon_tables, polarit
                                         sentence_scores, word_roles)
 from tonality.operators.metrics import (binary_counts, confusion_matrix, micro_metrics,
                                         weighted_metrics)
-from tonality.operators.split import random_split, split_by_key, split_part
-from tonality.plans.classifier import (ablation, build_classifier, fit, predict, run_report,
+from tonality.operators.resampling import paired_interval
+from tonality.operators.split import exact_part, random_split, split_by_key, split_part
+from tonality.plans.classifier import (ablation, ablation_interval, build_classifier, fit, predict, run_report,
                                        train_and_predict, trainable)
 from tonality.session import scratch_path, table, text_table
 from tonality.sources.models import load_model, save_model
-from tonality.sources.review_files import drop_header, unquote, write_review_csv
+from tonality.sources.review_files import drop_first_lines, drop_header, unquote, write_review_csv
 from tonality.sources.reviews import (project_reviews, read_reviews_json, standin_reviews,
                                       write_reviews_json)
 from tonality.sources.scores import read_score_lines, read_scores, write_scores
@@ -61,6 +62,7 @@ HEADER = "review"
 ASSEMBLED_NUM_FEATURES = 4096   # dense view of the assembled vector stays small
 HASHED_CHECK_FEATURES = 1024    # per-document totals do not depend on bucket count
 METRIC_DIGITS = 12
+LONG_REVIEW = 1000                 # characters
 
 
 def fixture_roles(spark: SparkSession) -> DataFrame:
@@ -167,6 +169,21 @@ def q_drop_header(spark, sf):
     return drop_header(lines, HEADER)
 
 
+def q_drop_first_lines(spark, sf):
+    """Files of three kinds, each with its own header line, which also occurs further down."""
+    part = F.col("turn") % 3
+    header = F.concat(F.lit("lines"), part.cast("string"))
+    line = F.when(F.col("turn") < 3, header).otherwise(F.concat_ws(
+        ":", "conv_id", "turn", F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ")))
+    rows = text_table(spark, sf, "conversations").select(part.alias("part"), line.alias("line"))
+    base = scratch_path(spark, "headed-lines")
+    for k in range(3):
+        (rows.filter(F.col("part") == k).select(F.col("line").alias(f"lines{k}")).write
+         .option("header", True).option("sep", "\u0001").option("quote", "")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{k}"))
+    return drop_first_lines(spark, [f"{base}/{k}" for k in range(3)]).select("value")
+
+
 # ---------------------------------------------------------------- labels, join, split
 
 def _labelled(spark, sf, mode):
@@ -199,6 +216,11 @@ def q_split_by_key(spark, sf):
     return r.select("review_id", split_part(F.col("review_id")).alias("part"))
 
 
+def q_split_exact(spark, sf):
+    r = standin_reviews(spark, sf)
+    return r.select("review_id", exact_part(r, "review_id").alias("part"))
+
+
 def q_split_random(spark, sf):
     r = standin_reviews(spark, sf).select("review_id")
     train, test = random_split(r)
@@ -340,6 +362,19 @@ def q_ablation_report(spark, sf):
     return ablation(spark, scored_reviews(spark, sf))
 
 
+def q_ablation_interval(spark, sf):
+    return ablation_interval(scored_reviews(spark, sf))
+
+
+def q_paired_interval(spark, sf):
+    """Two fixed predictions: always positive, and positive unless the text is long."""
+    reviews = standin_reviews(spark, sf)
+    long = F.length("text") > LONG_REVIEW
+    pred = reviews.select("review_id", binary(F.col("stars")).alias("label"), F.lit(1.0).alias("a"),
+                          F.when(long, F.lit(0.0)).otherwise(F.lit(1.0)).alias("b"))
+    return _round_doubles(paired_interval(pred, "review_id"))
+
+
 def q_run_report(spark, sf):
     start = time.time()
     _, pred = train_and_predict(labelled_reviews(spark, sf))
@@ -378,11 +413,13 @@ QUERIES = {
     "project_reviews": q_project_reviews,
     "unquote_lines": q_unquote_lines,
     "drop_header": q_drop_header,
+    "drop_first_lines": q_drop_first_lines,
     "label_three_class": q_label_three_class,
     "label_binary": q_label_binary,
     "label_raw": q_label_raw,
     "join_scores": q_join_scores,
     "split_by_key": q_split_by_key,
+    "split_exact": q_split_exact,
     "tokenize": q_tokenize,
     "stop_words_default": q_stop_words_default,
     "stop_words_custom": q_stop_words_custom,
@@ -400,6 +437,7 @@ QUERIES = {
     "metrics_weighted": q_metrics_weighted,
     "confusion_matrix": q_confusion_matrix,
     "binary_counts": q_binary_counts,
+    "paired_interval": q_paired_interval,
     # property checks (no SQL twin)
     "split_random": q_split_random,
     "assembled_features": q_assembled_features,
@@ -407,6 +445,7 @@ QUERIES = {
     "lr_with_lexicon": q_lr_with_lexicon,
     "model_roundtrip": q_model_roundtrip,
     "ablation_report": q_ablation_report,
+    "ablation_interval": q_ablation_interval,
     "run_report": q_run_report,
     "stream_score_reviews": q_stream_score_reviews,
     "stream_batches": q_stream_batches,

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tonality.fixed import (HASHING_NUM_FEATURES, IDF_MIN_DOC_FREQ, LR_MAX_ITER,
                             LR_REG_PARAM, NLTK_ENGLISH_STOP_WORDS)
 from tonality.operators.metrics import micro_metrics, weighted_metrics
+from tonality.operators.resampling import REPLICATES, paired_interval
 from tonality.operators.split import split_by_key
 from tonality.schemas import RUN_REPORT
 
@@ -205,3 +206,16 @@ def ablation(spark: SparkSession, scored: DataFrame, key: str = "review_id",
         train_rows.unpersist()
         test.unpersist()
     return reports[0].unionByName(reports[1])
+
+
+def ablation_interval(scored: DataFrame, key: str = "review_id", lexicon_col: str = "vader",
+                      replicates: int = REPLICATES, **params) -> DataFrame:
+    """What the lexicon feature gains on the test part, with its paired bootstrap
+    interval: a is the chain without it, b the chain with it, both on the same rows.
+    One row a key is expected, as everywhere in the split."""
+    rows = scored.filter(F.col(lexicon_col).isNotNull())
+    _, without = train_and_predict(rows, key, **params)
+    _, with_it = train_and_predict(rows, key, lexicon_col=lexicon_col, **params)
+    pred = without.withColumnRenamed("prediction", "a").join(
+        with_it.select(key, F.col("prediction").alias("b")), key)
+    return paired_interval(pred, key, replicates=replicates)

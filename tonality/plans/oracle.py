@@ -17,8 +17,9 @@ from tonality.fixed import (ABBREVIATION_SCORE, BOOSTER_DAMPING, BUT_AFTER, BUT_
                             NORMALIZATION_ALPHA, PERIOD_GIVEN_ABBREVIATION, PUNCTUATION, QUESTION_MANY,
                             QUESTION_WEIGHT, SPLIT_SEED, SPLIT_WEIGHTS, STARTER_SCORE)
 from tonality.functions.text import default_stop_words
+from tonality.operators.resampling import LEVEL, REPLICATES, draw_thresholds
 from tonality.plans.checks import (FIXTURE_BOOSTERS, FIXTURE_LEXICON, FIXTURE_NEGATORS,
-                                   FIXTURE_PHRASES, HEADER, METRIC_DIGITS)
+                                   FIXTURE_PHRASES, HEADER, LONG_REVIEW, METRIC_DIGITS)
 from tonality.sources.scores import SCORE_LINE
 
 
@@ -287,6 +288,24 @@ def _ratio(num: str, den: str) -> str:
     return f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) ELSE 0.0::DOUBLE END"
 
 
+def paired_interval_sql() -> str:
+    """The draws of a row are the thresholds of the Poisson(1) distribution function that it reaches."""
+    reached = " + ".join(f"(u >= {cut})::BIGINT" for cut in draw_thresholds())
+    cut = f"floor(len(g) * {dbl((1 - LEVEL) / 2)})::BIGINT"
+    return f"""WITH {REVIEWS}, p AS (SELECT review_id, {BINARY} AS label, 1.0 AS a,
+  CASE WHEN length(text) > {LONG_REVIEW} THEN 0.0 ELSE 1.0 END AS b FROM reviews),
+f AS (SELECT review_id, (label = a)::BIGINT AS a, (label = b)::BIGINT AS b FROM p WHERE label IS NOT NULL),
+d AS (SELECT replicate, a, b, ('0x' || substr(md5('{SPLIT_SEED}:' || replicate || ':' || review_id), 1, 7))::BIGINT AS u
+  FROM f, (SELECT unnest(range(1, {REPLICATES + 1})) AS replicate)),
+t AS (SELECT replicate, a, b, {reached} AS t FROM d),
+r AS (SELECT (sum(t * b) - sum(t * a)) / sum(t) AS gain FROM t GROUP BY replicate HAVING sum(t) > 0),
+g AS (SELECT list_sort(list(gain)) AS g FROM r),
+w AS (SELECT count(*) AS total, sum(a) / count(*) AS accuracy_a, sum(b) / count(*) AS accuracy_b,
+  (sum(b) - sum(a)) / count(*) AS gain FROM f)
+SELECT total, {_r('accuracy_a')} AS accuracy_a, {_r('accuracy_b')} AS accuracy_b, {_r('gain')} AS gain,
+  {_r(f'g[{cut} + 1]')} AS low, {_r(f'g[len(g) - {cut}]')} AS high FROM w, g"""
+
+
 def oracle_sql() -> dict[str, str]:
     train_pct = int(round(SPLIT_WEIGHTS[0] * 100))
     bucket = (f"(CAST('0x' || substr(md5({lit(f'{SPLIT_SEED}:')} || review_id), 1, 8) AS BIGINT) % 100)")
@@ -335,6 +354,8 @@ SELECT {acc} AS accuracy, {wp} AS weighted_precision, {wr} AS weighted_recall, {
                           f"(SELECT conv_id, turn, {quoted_line} AS line FROM conversations)"),
         "drop_header": (f"SELECT conv_id, turn, text AS value FROM conversations "
                         f"WHERE text IS DISTINCT FROM {lit(HEADER)}"),
+        "drop_first_lines": ("SELECT CASE WHEN turn < 3 THEN 'lines' || (turn % 3) ELSE conv_id || ':' || turn || ':' || "
+                             "translate(coalesce(text, ''), chr(10) || chr(13), '  ') END AS value FROM conversations"),
         "label_three_class": f"WITH {REVIEWS} SELECT review_id, stars, {THREE_CLASS} AS label FROM reviews",
         "label_binary": f"WITH {REVIEWS} SELECT review_id, stars, {BINARY} AS label FROM reviews",
         "label_raw": f"WITH {REVIEWS} SELECT review_id, stars, stars AS label FROM reviews",
@@ -343,6 +364,11 @@ SELECT {acc} AS accuracy, {wp} AS weighted_precision, {wr} AS weighted_recall, {
                         f"JOIN doc_scores s ON r.review_id = CAST(s.doc_id AS VARCHAR)"),
         "split_by_key": (f"WITH {REVIEWS} SELECT review_id, CASE WHEN {bucket} < {train_pct} "
                          f"THEN 'train' ELSE 'test' END AS part FROM reviews"),
+        "split_exact": (f"WITH {REVIEWS}, k AS (SELECT review_id, row_number() OVER (ORDER BY "
+                        f"substr(md5('{SPLIT_SEED}:' || review_id), 1, 15), review_id) AS place, count(*) OVER () AS n "
+                        f"FROM (SELECT DISTINCT review_id FROM reviews)) "
+                        f"SELECT r.review_id, CASE WHEN k.place <= (k.n * {train_pct} + 50) // 100 THEN 'train' ELSE 'test' END "
+                        f"AS part FROM reviews r JOIN k ON r.review_id = k.review_id"),
         "tokenize": exploded("documents", tokens()),
         "stop_words_default": exploded("documents", without(tokens(), default_stop_words("english"))),
         "stop_words_custom": exploded("documents", without(tokens(), NLTK_ENGLISH_STOP_WORDS)),
@@ -366,4 +392,5 @@ SELECT {acc} AS accuracy, {wp} AS weighted_precision, {wr} AS weighted_recall, {
         "metrics_weighted": _pred(3).rstrip("\n") + weighted,
         "confusion_matrix": _pred(3) + "SELECT label, prediction, n FROM cm",
         "binary_counts": _pred(2) + binary,
+        "paired_interval": paired_interval_sql(),
     }

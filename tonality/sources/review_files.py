@@ -22,6 +22,31 @@ def drop_header(lines: DataFrame, header: str, col: str = "value") -> DataFrame:
     return lines.filter(~F.col(col).eqNullSafe(F.lit(header)))
 
 
+def _placed_lines(spark: SparkSession, path) -> DataFrame:
+    """Every line with its file, where its block starts and a number that grows
+    along the block."""
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"))
+
+
+def first_lines(spark: SparkSession, path) -> DataFrame:
+    """``file_path, header, line``: the first line of every file that has one. A
+    minimum per file over first blocks: no sort, one row a file and task is shuffled."""
+    return (_placed_lines(spark, path).filter("block = 0").groupBy("file_path")
+            .agg(F.min_by("value", "line").alias("header"), F.min("line").alias("line")))
+
+
+def drop_first_lines(spark: SparkSession, path) -> DataFrame:
+    """``value, file_path``: all lines but the first of every file, whatever the
+    headers are; equal lines further down stay. A file of one line gives no
+    row, and so does an empty one. Both reads of the files have the same splits, so a line has
+    the same number in both; the numbers to drop are one a file."""
+    first = first_lines(spark, path).select("line")
+    return _placed_lines(spark, path).join(first, "line", "left_anti").select("value", "file_path")
+
+
 # Field separator for one-column review files: a character that never occurs
 # in text, so a comma in an unquoted review stays part of the review.
 SINGLE_COLUMN_SEP = "\u0001"
