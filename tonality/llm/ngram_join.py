@@ -307,7 +307,7 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group of linked ones: the smallest doc_id (a null one
     comes last). Rows without links stay, repeated rows of a kept doc_id once."""
     # Written with its key, so that every later read sees the same one.
-    rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows", "zstd")
     groups = jaccard_components(rows.select(F.col(ROW).alias("doc_id"), "text"), n, percent)
     known = rows.select(ROW, "doc_id", F.md5(F.col("text").cast("binary")).alias("_text"))
     held = groups.withColumnRenamed("doc_id", ROW).join(known, ROW)
