@@ -200,3 +200,12 @@ def test_pii_finds_assigned_secrets_and_handles(docs):
     assert clean[64] == "é write to [handle] soon x" and clean[65] == "é contact [handle] now x"
     assert clean[66] == clean[67] == "é [secret] x" and clean[120] == "line @override 20"
     assert "secret:2:52" in {r.doc_id: r.spans for r in pii.find_pii(docs(rows)).collect()}[60]
+
+
+def test_language_sample_takes_repeated_rows_once_and_rows_without_id_by_text(docs):
+    rows = [(None, f"uno dos tres {k}", "es", None) for k in range(60)] + [(None, "one two three", "en", None)] * 500
+    fitted = language.fit(docs(rows), max_per_lang=10_000)
+    assert fitted.langs == ["en", "es"]
+    assert fitted.probabilities([language.subwords("uno dos tres")])[0].argmax() == 1
+    again = language.fit(docs(rows[::-1]).repartition(5), max_per_lang=10_000)
+    assert (fitted.emb == again.emb).all() and fitted.threshold == again.threshold

@@ -7,8 +7,8 @@ mini-batch stochastic gradient descent in numpy on a bounded sample. A part of t
 sample fits the softmax temperature and the rejection threshold.
 
 Sample bound: ``max_per_lang`` rows in expectation for each label, taken by a hash
-of doc_id and text; only their (bucket, count) features reach the driver, at most
-``BUCKETS`` per row.
+of doc_id and text, rows equal in both and in label once; their (bucket, share) features, at most
+``BUCKETS`` per row, go to one task, which fits the model. Only the model reaches the driver.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; with no
 labelled row every text is ``und``; rows are predicted one by one, so repeated
@@ -17,6 +17,7 @@ rows agree; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -121,6 +122,13 @@ def fit_rows(rows, labels, epochs: int = 12, rate: float = 4.0, seed: int = 7, b
     return model
 
 
+def _trained(group: pd.DataFrame) -> pd.DataFrame:
+    """One row: the pickled model of the whole sample, in the order of its hashes."""
+    group = group.sort_values(["order", "lang"], kind="stable")
+    feats = [(np.asarray(a, np.int32), np.asarray(s, np.float32)) for a, s in zip(group["at"], group["share"])]
+    return pd.DataFrame({"model": [pickle.dumps(fit_rows(feats, group["lang"].tolist()))]})
+
+
 def fit(labelled: DataFrame, max_per_lang: int = MAX_PER_LANG) -> Model | None:
     """A model from (doc_id, text, lang) rows with a lang and a text."""
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang", "doc_id")
@@ -128,19 +136,17 @@ def fit(labelled: DataFrame, max_per_lang: int = MAX_PER_LANG) -> Model | None:
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, max_per_lang / n))])
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
+    order = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit("sample"))
     unit = F.pmod(order, F.lit(1_000_000)) / F.lit(1_000_000.0)
     kept = rows.withColumn("order", order).filter(unit < F.element_at(share, F.col("lang")))
     schema = StructType([StructField("lang", rows.schema["lang"].dataType),
                          StructField("order", kept.schema["order"].dataType),
                          StructField("at", ArrayType(IntegerType())), StructField("share", ArrayType(FloatType()))])
-    sample = kept.select("text", "lang", "order").mapInPandas(_features, schema).filter(F.size("at") > 0)
-    found = sample.toArrow().sort_by([("order", "ascending"), ("lang", "ascending")]) 
-    if not found.num_rows:
-        return None
-    feats = [(np.asarray(a.values, np.int32), np.asarray(s.values, np.float32))
-             for a, s in zip(found["at"], found["share"])]
-    return fit_rows(feats, found["lang"].to_pylist())
+    once = kept.select("text", "lang", "order").dropDuplicates(["order", "lang"])
+    sample = once.mapInPandas(_features, schema).filter(F.size("at") > 0)
+    # The sample is bounded, so one task learns from it; only the model comes to the driver.
+    trained = sample.groupBy(F.lit("sample")).applyInPandas(_trained, "model binary").first()
+    return pickle.loads(trained["model"]) if trained else None
 
 
 def predict(docs: DataFrame, model: Model | None, reject: bool = False) -> DataFrame:
