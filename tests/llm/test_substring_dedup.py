@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -76,3 +77,14 @@ def test_slices_do_not_change_codes(monkeypatch):
     whole = rolling.word_codes(raw, first, after)
     monkeypatch.setattr(rolling, "SLICE_BYTES", 16)
     assert (rolling.word_codes(raw, first, after) == whole).all() and len(set(whole.tolist())) == len({bytes(raw[a:b]) for a, b in zip(first, after)})
+
+
+def test_a_chunk_takes_bounded_memory():
+    rng = random.Random(5)
+    text = words(rng, sd.CHUNK_WORDS).encode()
+    rolling._POWERS.clear()
+    tracemalloc.start()
+    found = sd.chunk_windows([text], 13)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) == sd.CHUNK_WORDS - 12 and peak < 90e6

@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 22
+# A slice's arrays take about 40 times its bytes, in every Python worker at once.
+SLICE_BYTES = 1 << 19
 BITS_A_KEY = 16
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 
