@@ -99,6 +99,14 @@ def shingle_set(text: str | None, n: int = N) -> np.ndarray:
     return np.unique(mix64(h))
 
 
+def shared(s: np.ndarray, c: np.ndarray) -> int:
+    """How many tokens two sorted sets share."""
+    if not len(s) or not len(c):
+        return 0
+    at = np.searchsorted(c, s)
+    return int(np.count_nonzero(c[np.minimum(at, len(c) - 1)] == s))
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + 1 + (-percent * n // 100)
 
@@ -177,21 +185,22 @@ def _postings(filter_of):
 
 
 def _linked(n: int, percent: int):
-    """The members of a group that link with its ``a``, by whole sets."""
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        a = group["a"].iloc[0]
-        mine = group["id"] == a
+    """The members of every (a, part) that link with its ``a``, by whole sets. Rows come sorted by
+    group, those of its ``a`` first, so a task holds one group's centres and streams the rest."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
-        centres = [shingle_set(unpack(t).decode("utf-8", "surrogatepass"), n) for t in group.loc[mine, "packed"]]
-        out = []
-        for b, t in zip(group.loc[~mine, "id"], group.loc[~mine, "packed"]):
-            s = shingle_set(unpack(t).decode("utf-8", "surrogatepass"), n)
-            for c in centres:
-                shared = len(np.intersect1d(s, c, assume_unique=True))
-                if shared * (100 + percent) >= (len(s) + len(c)) * percent:
+        group, centres = None, []
+        for batch in batches:
+            out = []
+            for a, part, b, packed in zip(batch["a"].tolist(), batch["part"].tolist(), batch["id"].tolist(), batch["packed"]):
+                if (a, part) != group:
+                    group, centres = (a, part), []
+                s = shingle_set(unpack(packed).decode("utf-8", "surrogatepass"), n)
+                if b == a:
+                    centres.append(s)
+                elif any(shared(s, c) * (100 + percent) >= (len(s) + len(c)) * percent for c in centres):
                     out.append((a, b))
-                    break
-        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+            yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
     return run
 
 
@@ -230,7 +239,9 @@ class _Join:
         need = written(dealt.unionByName(centres), f"{name}-need")
         ids = written(need.select("id").distinct(), f"{name}-ids")
         texts = self.texts_of(ids).join(need, "id")
-        links = written(texts.groupBy("a", "part").applyInPandas(_linked(self.n, self.percent), "u long, v long"), f"{name}-links")
+        ordered = texts.select("a", "part", "id", "packed").repartition("a", "part").sortWithinPartitions(
+            "a", "part", F.col("id") != F.col("a"))
+        links = written(ordered.mapInPandas(_linked(self.n, self.percent), "u long, v long"), f"{name}-links")
         self.links = links if self.links is None else self.links.union(links)
 
     def near(self, pa: Column, pb: Column) -> Column:
