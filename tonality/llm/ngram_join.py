@@ -6,10 +6,10 @@ a token among the first p = n - ceil(PERCENT n / 100) + 1 tokens of each under *
 global order of the tokens. So:
 
 1. The global orders put frequent tokens last, each order by a hash of its own among the others.
-   Any fixed rule is a valid order, so which tokens count as frequent is learnt from a ``SAMPLE_RATE``
-   of the documents and kept as a filter of bounded size: the sample only decides how short the
-   postings are, and a rate keeps them alike at every size. Lines and passages that many documents share then enter the prefix of those documents
-   only that consist of them.
+   Frequent are those that ``SEEN`` documents hold, counted over all documents (44 bits of their
+   hashes, in packed sorted runs) and kept as a filter of bounded size; any fixed rule is a valid
+   order, so what else passes the filter costs no link. Lines and passages that many documents
+   share then enter the prefix of those documents only that consist of them.
 2. Equal sets collapse to the smallest doc_id; only one row per set goes on. The prefixes under the
    first order give postings; tokens held once drop out by a filter.
 3. Candidates share a prefix token under the first order, close enough in length and position, and
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +43,14 @@ from pyspark.sql import functions as F
 from tonality.llm.common import written
 from tonality.llm.components import connected_components
 from tonality.llm.rolling import bit_filter, passes
+from tonality.llm.substring_dedup import BYTES_A_WORD, from_planes, planes
 
 N = 4
 PERCENT = 85
-SAMPLE_RATE = 0.125
-SEEN = 3
+SEEN = 24
+COUNTED_BITS = 44
+RUN_TOKENS = 1 << 19
+BUCKET_TOKENS = 1 << 19
 GROUP = 256
 SALTS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 ROW = "_row_key"
@@ -132,20 +136,52 @@ def prefixes(s: np.ndarray, frequent: np.ndarray, percent: int) -> list[np.ndarr
     return out
 
 
-def _sampled(n: int):
+def _token_runs(n: int, buckets: int, seen: int):
+    """(bucket, tokens, counts): the tokens of about RUN_TOKENS, sorted and packed as differences, for
+    each of ``buckets`` equal ranges of ``COUNTED_BITS`` of their hashes."""
+    def packed(sets: list[np.ndarray]) -> pd.DataFrame:
+        token, count = np.unique(np.concatenate(sets) & np.uint64((1 << COUNTED_BITS) - 1), return_counts=True)
+        first = np.arange(buckets, dtype=np.uint64) * np.uint64(-(-(1 << COUNTED_BITS) // buckets))
+        cut = [*np.searchsorted(token, first).tolist(), len(token)]
+        count = np.minimum(count, seen).astype(np.uint32)
+        return pd.DataFrame([(k, planes(np.diff(token[x:y], prepend=np.uint64(0))), count[x:y].tobytes())
+                             for k, (x, y) in enumerate(zip(cut, cut[1:])) if y > x], columns=["bucket", "tokens", "counts"])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
         for b in batches:
-            for at in range(0, len(b), 500):
-                sets = [shingle_set(t, n) for t in b["text"].iloc[at:at + 500]]
-                yield pd.DataFrame({"token": np.concatenate(sets).view(np.int64)})
+            for text in b["text"]:
+                held.append(shingle_set(text, n))
+                size += len(held[-1])
+                if size >= RUN_TOKENS:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+    return run
+
+
+def _counted(seen: int):
+    """The tokens of a bucket that reach ``seen``."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        token = np.concatenate([np.cumsum(from_planes(x, np.uint64), dtype=np.uint64) for x in group["tokens"]])
+        count = np.frombuffer(b"".join(group["counts"]), np.uint32)
+        order = np.argsort(token, kind="stable")  # runs are sorted already
+        token, count = token[order], count[order]
+        start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        often = np.add.reduceat(count, start, dtype=np.uint64) >= seen
+        return pd.DataFrame({"token": token[start[often]].view(np.int64)})
     return run
 
 
-def frequent_tokens(docs: DataFrame, n: int = N, sample_rate: float = SAMPLE_RATE, seen: int = SEEN) -> np.ndarray:
-    """A filter of the tokens that ``seen`` documents of a random sample hold."""
-    some = docs.filter("text IS NOT NULL").select("text").filter(F.rand(1) < sample_rate)
-    often = some.mapInPandas(_sampled(n), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= seen)
-    return bit_filter(written(often.select("token"), "frequent-tokens"), "token")[1]
+def frequent_tokens(docs: DataFrame, n: int = N, seen: int = SEEN) -> np.ndarray:
+    """A filter of the tokens that ``seen`` documents hold, counted over all of them."""
+    texts = docs.filter("text IS NOT NULL").select("text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // (BYTES_A_WORD * BUCKET_TOKENS)))
+    runs = texts.mapInPandas(_token_runs(n, buckets, seen), "bucket long, tokens binary, counts binary")
+    often = runs.groupBy("bucket").applyInPandas(_counted(seen), "token long")
+    return bit_filter(written(often, "frequent-tokens"), "token")[1]
 
 
 def _signatures(n: int, percent: int, frequent):
@@ -170,6 +206,21 @@ def _signatures(n: int, percent: int, frequent):
     return run
 
 
+def _rows_where(filter_of, wanted: bool):
+    """The rows whose hash ``h`` passes the filter, or those whose does not, without ``h``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = passes(filter_of.value, b.column("h").to_numpy().view(np.uint64))
+            yield b.filter(pa.array(held if wanted else ~held)).drop_columns(["h"])
+    return run
+
+
+def filtered(rows: DataFrame, key: list[str], filter_of, wanted: bool = True) -> DataFrame:
+    """``rows`` whose ``key`` passes a filter of its xxhash64 (or does not): a narrow step before a join."""
+    keyed = rows.withColumn("h", F.xxhash64(*key))
+    return keyed.mapInArrow(_rows_where(filter_of, wanted), rows.schema)
+
+
 def _postings(filter_of):
     """(id, n, pos, token) of the prefix tokens that pass."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -228,8 +279,12 @@ class _Join:
     def verify(self, pairs: DataFrame, name: str) -> None:
         """Adds the (a, b) of ``pairs``, a < b, that link: further orders first, then whole sets."""
         pairs = written(pairs.distinct(), f"{name}-pairs")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted = self.docs.sparkSession.sparkContext.broadcast(bit_filter(
+            written(ids, f"{name}-candidates").select(F.xxhash64("id").alias("h")), "h")[1])
+        signed = filtered(self.signed.select("doc_id", "t1", "t2"), ["doc_id"], wanted)
         for side in ("a", "b"):
-            tops = self.signed.select(F.col("doc_id").alias(side), F.col("t1").alias(f"t1_{side}"), F.col("t2").alias(f"t2_{side}"))
+            tops = signed.select(F.col("doc_id").alias(side), F.col("t1").alias(f"t1_{side}"), F.col("t2").alias(f"t2_{side}"))
             pairs = pairs.join(tops, side)
         pairs = pairs.filter(F.arrays_overlap("t1_a", "t1_b") & F.arrays_overlap("t2_a", "t2_b")).select("a", "b").distinct()
         pairs = written(pairs, f"{name}-kept")
@@ -284,12 +339,13 @@ class _Join:
         self.verify(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "across")
 
 
-def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_rate: float = SAMPLE_RATE,
+def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_rate: float | None = None,
                        seen: int = SEEN, group: int = GROUP) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text). Tokens are counted
+    over all documents, so ``sample_rate`` (once the size of a sample) changes nothing."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     context = docs.sparkSession.sparkContext
-    frequent = context.broadcast(frequent_tokens(docs, n, sample_rate, seen))
+    frequent = context.broadcast(frequent_tokens(docs, n, seen))
     signed = written(docs.mapInPandas(
         _signatures(n, percent, frequent), "doc_id long, n_shingles long, f1 long, f2 long, "
         "top array<long>, t1 array<int>, t2 array<int>"), "signatures")
@@ -298,11 +354,16 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, samp
     first = some.groupBy(*same).agg(F.min("doc_id").alias("id"))
     classes = written(some.select("doc_id", *same).join(first, same).select("doc_id", "id", *same).distinct(), "classes")
     copies = written(classes.filter("doc_id <> id").select("doc_id", *same), "copies")
-    reps = some.join(copies, ["doc_id", *same], "left_anti")
+    # Most rows are no copy by a filter already, and only the others need the join.
+    key = ["doc_id", *same]
+    copied = context.broadcast(bit_filter(copies.select(F.xxhash64(*key).alias("h")), "h")[1])
+    some = some.select(*key, "top")
+    reps = filtered(some, key, copied, False).union(filtered(some, key, copied).join(copies, key, "left_anti"))
+    # Written, so that no task runs two Python steps at once.
+    reps = written(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "top"), "representatives")
     tokens = reps.select(F.explode("top").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
     shared = context.broadcast(bit_filter(written(tokens.filter("c > 1").select("token"), "shared-tokens"), "token")[1])
-    postings = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "top").mapInPandas(
-        _postings(shared), "id long, n long, pos long, token long")
+    postings = reps.mapInPandas(_postings(shared), "id long, n long, pos long, token long")
     join = _Join(docs, signed, n, percent, group)
     join.run(written(postings.distinct(), "postings"))
 
