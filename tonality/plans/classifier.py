@@ -31,6 +31,7 @@ from tonality.operators.metrics import micro_metrics, weighted_metrics
 from tonality.operators.resampling import REPLICATES, paired_interval
 from tonality.operators.split import split_by_key
 from tonality.schemas import RUN_REPORT
+from tonality.session import scratch_path
 
 
 def build_classifier(lexicon_col: str | None = None, text_col: str = "text",
@@ -212,8 +213,12 @@ def ablation_interval(scored: DataFrame, key: str = "review_id", lexicon_col: st
                       replicates: int = REPLICATES, **params) -> DataFrame:
     """What the lexicon feature gains on the test part, with its paired bootstrap
     interval: a is the chain without it, b the chain with it, both on the same rows.
-    One row a key is expected, as everywhere in the split."""
-    rows = scored.filter(F.col(lexicon_col).isNotNull())
+    One row a key is expected, as everywhere in the split. The rows are written once to shared
+    scratch: both chains read them for training and for the test part, and would otherwise
+    each time join texts, labels and scores anew."""
+    path = scratch_path(scored.sparkSession, "ablation-rows")
+    trainable(scored).filter(F.col(lexicon_col).isNotNull()).write.parquet(path)
+    rows = scored.sparkSession.read.schema(scored.schema).parquet(path)
     _, without = train_and_predict(rows, key, **params)
     _, with_it = train_and_predict(rows, key, lexicon_col=lexicon_col, **params)
     pred = without.withColumnRenamed("prediction", "a").join(
