@@ -4,14 +4,16 @@ Every ``LENGTH``-byte window picks an anchor: its smallest hash of ``gram_of(LEN
 bytes (about a third of the window, so that chance matches are rare), leftmost on ties. Equal windows pick equal anchors, so a window can repeat only
 among windows with the same anchor hash.
 
-1. Anchor hashes are counted; those found twice or more set bits of a
-   fixed-size filter.
+1. Anchor hashes are counted; those found twice or more set bits of a filter. An anchor is a
+   smallest hash, so its upper bits are nearly always zero; filters take their slots from the lower ones.
 2. For every anchor that passes, a task writes out where its run of windows lies and
    a digest of the bytes it covers, its context. No window lies in two contexts. Equal
    contexts count as one; where the count is two or more all its windows repeat.
 3. Anchors with several different contexts are read again with their bytes, once
-   each, and go in shards by anchor hash, about ``SHARD`` contexts each. A shard's
-   texts are sorted into a suffix array, giving a Burrows-Wheeler transform; only at the
+   each. The room of a window beside its anchor is dealt into ``ROOMS`` classes; all windows of a class
+   hold one stretch of bytes around the anchor, its key. A window repeats only where its key is found in
+   another context, so each context is trimmed to the classes whose key is, and dropped without any.
+   The rest go in shards by anchor hash, about ``SHARD`` contexts each. A shard's texts are sorted into a suffix array, giving a Burrows-Wheeler transform; only at the
    heads and tails of its runs are common lengths with the neighbouring suffix
    computed, and a text-order pass streams the matching statistics of all
    other positions from them (a length shrinks by one per step inside a run).
@@ -37,13 +39,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonality.llm.common import written
+from tonality.llm.rolling import BASE, BYTE_CODES, SLICE_BYTES, bit_filter, mix64, passes, powers, prefix_sums
 
 LENGTH = 400
-FILTER_BITS = 1 << 26
+ROOMS = 8
+# Bits of the filters that decide whether bytes travel: one key in 64 that should not passes.
+BYTES_FILTER_BITS = 64
 SHARD = 1500
 CROWD = 1000
 STEP = 1 << 22
 YIELD = 4000
+# Suffixes compared at a time; their arrays take about 800 bytes each.
+COMPARED = 1 << 14
 
 
 def _u64(x: int) -> np.uint64:
@@ -77,9 +84,9 @@ def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, window after the last) of each anchor of a text."""
-    hs, los, his, gram = [], [], [], gram_of(length)
+def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, position, first window, window after the last) of each anchor of a text."""
+    hs, ps, los, his, gram = [], [], [], [], gram_of(length)
     for base in range(0, max(0, len(data) - length + 1), STEP):
         part = data[base: base + STEP + length - 1]
         h = gram_hashes(part, gram)
@@ -94,11 +101,12 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
         at = (low & np.uint64((1 << 24) - 1)).astype(np.int64)
         start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         hs.append(h[at[start]])
+        ps.append(at[start] + base)
         los.append(start + base)
         his.append(np.append(start[1:], len(at)) + base)
     if not hs:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(hs), np.concatenate(los), np.concatenate(his)
+        return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
+    return np.concatenate(hs), np.concatenate(ps), np.concatenate(los), np.concatenate(his)
 
 
 def _bytes(text: str | None) -> np.ndarray:
@@ -119,23 +127,18 @@ def digest(ctx: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(ctx, digest_size=8).digest(), "little", signed=True)
 
 
-def _slot_filter(slots: DataFrame) -> bytes:
-    """FILTER_BITS bits, set at the slots of the anchor hashes ``h``."""
-    slot = slots.select(F.expr("shiftrightunsigned(h, 38)").alias("slot"))
-    found = slot.groupBy((F.col("slot") / 64).cast("int").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
-    flags = np.zeros(FILTER_BITS // 64, np.int64)
-    flags[found["at"].to_numpy()] = found["bits"].to_numpy()
-    return flags.view(np.uint8).tobytes()
+# Bits of an anchor's hash for the second filter, apart from those of the first.
+AGAIN = 27
 
 
-def _passing(bits, text: str | None, length: int):
-    """(bytes, hash, first window, window after the last) of the anchors that pass."""
-    flags, data = np.frombuffer(bits.value, np.uint8), _bytes(text)
-    h, lo, hi = anchors(data, length)
-    slot = (h >> np.uint64(38)).astype(np.int64)
-    take = (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-    return data.tobytes(), h[take].view(np.int64).tolist(), lo[take].tolist(), hi[take].tolist()
+def _passing(bits, text: str | None, length: int, again=None):
+    """(bytes, hash, position, first window, window after the last) of the anchors that pass."""
+    data = _bytes(text)
+    h, p, lo, hi = anchors(data, length)
+    take = passes(bits.value, h)
+    if again is not None:
+        take &= passes(again.value, h >> np.uint64(AGAIN))
+    return data.tobytes(), h[take].view(np.int64).tolist(), *[x[take].tolist() for x in (p, lo, hi)]
 
 
 def _places(bits, length: int):
@@ -145,7 +148,7 @@ def _places(bits, length: int):
         for b in batches:
             rows = []
             for doc, text in zip(b["doc_key"], b["text"]):
-                data, hs, los, his = _passing(bits, text, length)
+                data, hs, _, los, his = _passing(bits, text, length)
                 for h, lo, hi in zip(hs, los, his):
                     rows.append((doc, h, lo, hi - lo, digest(data[lo: hi + length - 1])))
                     if len(rows) >= YIELD:
@@ -156,60 +159,121 @@ def _places(bits, length: int):
     return run
 
 
-def _contexts(bits, length: int):
-    """The contexts of the anchors that pass, each once per batch of output."""
-    columns = ["h", "ch", "ctx"]
+def _contexts(bits, again, length: int):
+    """The contexts of the anchors that pass, with the anchor's place, each once per batch of output."""
+    columns = ["h", "ch", "at", "ctx"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = {}
             for text in b["text"]:
-                data, hs, los, his = _passing(bits, text, length)
-                for h, lo, hi in zip(hs, los, his):
+                data, hs, ps, los, his = _passing(bits, text, length, again)
+                for h, p, lo, hi in zip(hs, ps, los, his):
                     ctx = data[lo: hi + length - 1]
-                    rows[h, digest(ctx)] = ctx
+                    rows[h, digest(ctx)] = p - lo, ctx
                     if len(rows) >= YIELD:
-                        yield pd.DataFrame([(*k, c) for k, c in rows.items()], columns=columns)
+                        yield pd.DataFrame([(*k, *c) for k, c in rows.items()], columns=columns)
                         rows = {}
             if rows:
-                yield pd.DataFrame([(*k, c) for k, c in rows.items()], columns=columns)
+                yield pd.DataFrame([(*k, *c) for k, c in rows.items()], columns=columns)
+    return run
+
+
+def class_width(length: int) -> int:
+    return -(-(length - gram_of(length) + 1) // ROOMS)
+
+
+def class_keys(at: np.ndarray, contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, held), a row per context and a column per class: the hash of the bytes that all windows
+    of a class hold, and whether the context has such windows. ``at``: the anchor's place in each."""
+    gram = gram_of(length)
+    room, step = length - gram, class_width(length)
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    start = np.cumsum(sizes) - sizes
+    sums = prefix_sums(BYTE_CODES[np.frombuffer(b"".join(contexts), np.uint8)])
+    near = np.arange(0, room + 1, step)  # a class's least room to the left of the anchor, and its most
+    far = np.minimum(near + step - 1, room)
+    held = (at[:, None] >= near) & ((at - sizes + length)[:, None] <= far)
+    first = np.where(held, (start + at)[:, None] - near, 0)
+    after = np.where(held, (start + at)[:, None] + gram + room - far, 0)
+    with np.errstate(over="ignore"):
+        keys = mix64((sums[after] - sums[first]) * powers(BASE, len(sums))[first]) + np.arange(len(near), dtype=np.uint64)
+    return keys, held
+
+
+def _slices(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The rows of a batch in parts of about SLICE_BYTES."""
+    part = np.cumsum(b["ctx"].map(len).to_numpy(np.int64)) // SLICE_BYTES
+    yield from (rows for _, rows in b.groupby(part, sort=False))
+
+
+def _keys(length: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for rows in _slices(b):
+                keys, held = class_keys(rows["at"].to_numpy(), rows["ctx"].tolist(), length)
+                yield pd.DataFrame({"key": keys[held].view(np.int64)})
+    return run
+
+
+def _trimmed(found, length: int):
+    """(h, ch, off, ctx): contexts cut to the windows from the first to the last class whose key passes,
+    and how many windows before them were cut."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = class_width(length)
+        for b in batches:
+            for rows in _slices(b):
+                at = rows["at"].to_numpy()
+                keys, held = class_keys(at, rows["ctx"].tolist(), length)
+                held &= passes(found.value, keys)
+                most = (held.shape[1] - held[:, ::-1].argmax(axis=1)) * step - 1  # room to the left
+                low = np.maximum(at - most, 0)
+                high = np.minimum(at - held.argmax(axis=1) * step, rows["ctx"].map(len).to_numpy() - length)
+                rows = rows.assign(off=low, ctx=[c[x: y + length] for c, x, y in zip(rows["ctx"], low.tolist(), high.tolist())])
+                yield rows.loc[held.any(axis=1), ["h", "ch", "off", "ctx"]]
     return run
 
 
 def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
-    """Suffix array of ``text`` (integers) by their first ``length`` or
-    more symbols, by doubling from three-symbol keys."""
+    """Suffix array of ``text`` (integers) by their first ``length`` or more symbols. Keys are of as many
+    symbols as 63 bits hold, then of three ranks, or two in a text too long for that."""
     n = len(text)
-    pad = np.concatenate((text.astype(np.int64) + 1, np.zeros(2, np.int64)))
-    key = (pad[:n] << 42) | (pad[1: n + 1] << 21) | pad[2: n + 2]
-    width = 3
+    bits = (int(text.max()) + 1).bit_length()
+    width = 63 // bits
+    pad = np.concatenate((text.astype(np.int64) + 1, np.zeros(width - 1, np.int64)))
+    key = pad[:n]
+    for k in range(1, width):
+        key = (key << bits) | pad[k: n + k]
+    bits = n.bit_length()
+    many = min(3, 63 // bits)
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
         if width >= length or new[-1] == n - 1:
             return order
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - width)] = rank[width:] + 1
-        key = rank * (n + 1) + after
-        width *= 2
+        rank = np.zeros(n + (many - 1) * width, np.int64)  # 0: after the end
+        rank[order] = new + 1
+        key = rank[:n]
+        for k in range(1, many):
+            key = (key << bits) | rank[k * width: k * width + n]
+        width *= many
 
 
 def common_lengths(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Length of the common prefix of suffixes a[i] and b[i], up to ``most``."""
     n, got = len(text), np.zeros(len(a), np.int64)
-    live = np.arange(len(a))
-    while len(live):
-        x, y = a[live] + got[live], b[live] + got[live]
-        span = np.arange(32)
-        i, j = x[:, None] + span, y[:, None] + span
-        same = (i < n) & (j < n)
-        same &= text[np.minimum(i, n - 1)] == text[np.minimum(j, n - 1)]
-        run = np.where(same.all(axis=1), 32, same.argmin(axis=1))
-        got[live] += run
-        live = live[(run == 32) & (got[live] < most)]
+    span = np.arange(32)
+    for first in range(0, len(a), COMPARED):
+        live = np.arange(first, min(len(a), first + COMPARED))
+        while len(live):
+            x, y = a[live] + got[live], b[live] + got[live]
+            i, j = x[:, None] + span, y[:, None] + span
+            same = (i < n) & (j < n)
+            same &= text[np.minimum(i, n - 1)] == text[np.minimum(j, n - 1)]
+            run = np.where(same.all(axis=1), 32, same.argmin(axis=1))
+            got[live] += run
+            live = live[(run == 32) & (got[live] < most)]
     return np.minimum(got, most)
 
 
@@ -250,9 +314,9 @@ def _shard(length: int):
             text[s: s + len(p)] = p
             text[s + len(p)] = 256 + k  # ends are all different
         long = matching_statistics(text, int(sizes.max())) >= length
-        for h, ch, s, m in zip(group["h"], group["ch"], starts, sizes):
+        for h, ch, off, s, m in zip(group["h"], group["ch"], group["off"], starts, sizes):
             if found := _ranges(long[s: s + m - length + 1]):
-                out.append((h, ch, found))
+                out.append((h, ch, [off + x for x in found]))
         return pd.DataFrame(out, columns=["h", "ch", "found"])
     return run
 
@@ -274,21 +338,16 @@ def _window_counts(length: int):
     return run
 
 
-def _bits_at(flags: np.ndarray, w: np.ndarray) -> np.ndarray:
-    slot = (w >> np.uint64(38)).astype(np.int64)
-    return (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-
-
 def _certain(bits, length: int):
     """(h, ch, found): the windows whose bit only repeated hashes have set."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            twice, doubt = (np.frombuffer(x, np.uint8) for x in bits.value)
+            twice, doubt = bits.value
             rows = []
-            for h, ch, ctx in zip(b["h"], b["ch"], b["ctx"]):
+            for h, ch, off, ctx in b[["h", "ch", "off", "ctx"]].itertuples(index=False):
                 w = _window_codes(h, ctx, length)
-                if found := _ranges(_bits_at(twice, w) & ~_bits_at(doubt, w)):
-                    rows.append((h, ch, found))
+                if found := _ranges(passes(twice, w) & ~passes(doubt, w)):
+                    rows.append((h, ch, [off + x for x in found]))
             yield pd.DataFrame(rows, columns=["h", "ch", "found"])
     return run
 
@@ -297,13 +356,13 @@ def _doubtful(bits, length: int):
     """(h, ch, at, w): one row per window whose bit hashes found once share."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            twice, doubt = (np.frombuffer(x, np.uint8) for x in bits.value)
+            twice, doubt = bits.value
             for first in range(0, len(b), YIELD):
                 rows = []
-                for h, ch, ctx in b[["h", "ch", "ctx"]].iloc[first: first + YIELD].itertuples(index=False):
+                for h, ch, off, ctx in b[["h", "ch", "off", "ctx"]].iloc[first: first + YIELD].itertuples(index=False):
                     w = _window_codes(h, ctx, length)
-                    at = np.flatnonzero(_bits_at(twice, w) & _bits_at(doubt, w))
-                    rows.extend((h, ch, i, x) for i, x in zip(at.tolist(), w[at].view(np.int64).tolist()))
+                    at = np.flatnonzero(passes(twice, w) & passes(doubt, w))
+                    rows.extend((h, ch, off + i, x) for i, x in zip(at.tolist(), w[at].view(np.int64).tolist()))
                 yield pd.DataFrame(rows, columns=["h", "ch", "at", "w"])
     return run
 
@@ -326,30 +385,32 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_key, found): per document key the byte ranges covered by strings of
     ``length`` bytes that also start elsewhere. ``docs``: doc_key, text."""
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     counted = docs.select("text").mapInPandas(_count_anchors(length), "h long, c long")
-    context = spark.sparkContext
-    bits = context.broadcast(_slot_filter(
-        counted.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 1").select("h")))
+    repeated = written(counted.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 1").select("h"), "repeated-anchors")
+    bits = context.broadcast(bit_filter(repeated, "h")[1])
     held = written(docs.mapInPandas(
         _places(bits, length), "doc_key binary, h long, lo long, n long, ch long"), "places")
     unique = written(held.groupBy("h", "ch").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")), "contexts")
     per = written(unique.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "shared-anchors")
     whole = unique.filter("c > 1").select("h", "ch", F.array(F.lit(0).cast("long"), F.col("n")).alias("found"))
-    again = context.broadcast(_slot_filter(per))
-    texts = docs.select("text").mapInPandas(_contexts(again, length), "h long, ch long, ctx binary")
-    # The filter may let anchors with one context pass: its windows are all different.
-    several = written(texts.groupBy("h", "ch").agg(F.min("ctx").alias("ctx")), "shared-contexts")
+    again = context.broadcast(bit_filter(per.select(F.shiftrightunsigned("h", AGAIN).alias("h")), "h", BYTES_FILTER_BITS)[1])
+    texts = docs.select("text").mapInPandas(_contexts(bits, again, length), "h long, ch long, at long, ctx binary")
+    several = written(texts.groupBy("h", "ch").agg(F.min(F.struct("at", "ctx")).alias("x")).select("h", "ch", "x.*"), "shared-contexts")
+    # The filter may let anchors with one context pass: their keys are all different.
+    keys = several.mapInPandas(_keys(length), "key long").groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    found = context.broadcast(bit_filter(written(keys.filter("c > 1").select("key"), "class-keys"), "key", BYTES_FILTER_BITS)[1])
+    several = written(several.mapInPandas(_trimmed(found, length), "h long, ch long, off long, ctx binary"), "trimmed-contexts")
     dense = written(per.filter(F.col("k") > CROWD).select("h"), "crowded-anchors")
     few = several.join(dense, "h", "left_anti")
     shards = max(1, few.count() // SHARD)
     sharded = few.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard").applyInPandas(
         _shard(length), "h long, ch long, found array<long>")
-    crowd = several.join(dense, "h", "left_semi").select("h", "ch", "ctx")
+    crowd = several.join(dense, "h", "left_semi").select("h", "ch", "off", "ctx")
     windows = written(crowd.select("h", "ctx").mapInPandas(_window_counts(length), "h long, c long").groupBy("h").agg(
         F.sum("c").alias("c")), "crowded-windows")
-    twice = _slot_filter(windows.filter("c > 1"))
-    passing = context.broadcast((twice, _slot_filter(windows.filter("c = 1"))))
+    twice, once = (bit_filter(windows.filter(c).select("h"), "h")[1] for c in ("c > 1", "c = 1"))
+    passing = context.broadcast((twice, once))
     found = "h long, ch long, found array<long>"
     certain = crowd.mapInPandas(_certain(passing, length), found)
     rows = crowd.mapInPandas(_doubtful(passing, length), "h long, ch long, at long, w long")
