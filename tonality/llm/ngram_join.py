@@ -12,12 +12,16 @@ global order of the tokens. So:
    share then enter the prefix of those documents only that consist of them.
 2. Equal sets collapse to the smallest doc_id; only one row per set goes on. The prefixes under the
    first order give postings; tokens held once drop out by a filter.
-3. Candidates share a prefix token under the first order, close enough in length and position, and
-   under both further orders. First each document is compared with the smallest doc_id it meets, then, where
-   their components still differ, with the smallest of each posting, then all pairs of a posting
-   that are in different components. What a round links, the next need not compare.
-4. Candidates are verified on whole sets, grouped by the smaller document in parts of at most
-   ``GROUP`` partners, so one with thousands of near copies is spread over tasks.
+3. Each posting has a centre, the member with the fewest rare prefix tokens. First all members close
+   enough in length and position to a centre are compared with it, in one round.
+4. Then pairs of a posting in different components. Members that link with the centre c are one component already.
+   A member y known not to link with c can link with one that does only if y's similarity to c is at least
+   2 PERCENT - 100 (distances obey the triangle inequality): y is far, or else close. If a close y links with any
+   member x known to c, they share more than half of what sets x apart from c, corrected by their lengths. So such pairs
+   come from a join on these differences, x's new tokens first, not from all members of a large
+   group. Pairs of far or unknown members with others come from the posting.
+5. Candidates also share a prefix token under both further orders. They are verified on whole sets, grouped by one
+   document in parts of at most ``GROUP`` partners, so one with thousands of near copies is spread over tasks.
 
 Sets are derived from whole texts; texts that need verification are read again through a filter of
 doc_ids of bounded size, which may let others through but loses none. They travel compressed, a
@@ -221,8 +225,9 @@ def filtered(rows: DataFrame, key: list[str], filter_of, wanted: bool = True) ->
     return keyed.mapInArrow(_rows_where(filter_of, wanted), rows.schema)
 
 
-def _postings(filter_of):
-    """(id, n, pos, token) of the prefix tokens that pass."""
+def _postings(filter_of, frequent):
+    """(id, n, pos, token, rare, own) of the prefix tokens that pass; own: how many of the prefix do not; rare: how
+    many are not frequent."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sizes = b["top"].map(len).to_numpy()
@@ -230,8 +235,48 @@ def _postings(filter_of):
             of = np.repeat(np.arange(len(b)), sizes)
             pos = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             kept = passes(filter_of.value, token.view(np.uint64))
+            own = sizes - np.bincount(of[kept], minlength=len(b))
+            rare = sizes - np.bincount(of[passes(frequent.value, token.view(np.uint64))], minlength=len(b))
             of = of[kept]
-            yield pd.DataFrame({"id": b["id"].to_numpy()[of], "n": b["n"].to_numpy()[of], "pos": pos[kept], "token": token[kept]})
+            yield pd.DataFrame({"id": b["id"].to_numpy()[of], "n": b["n"].to_numpy()[of], "pos": pos[kept], "token": token[kept],
+                                "rare": rare[of], "own": own[of]})
+    return run
+
+
+def difference(s: np.ndarray, c: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int]:
+    """Whether set ``s`` links with its centre ``c``, the tokens that only one of them has (those of ``s`` first), and a
+    number m. A set that links with ``s`` but not with ``c`` has one of the first m of these in its own difference from
+    ``c``. If ``s`` does not link and is too far from ``c`` to link with any set that does, there are no tokens."""
+    new, gone = np.setdiff1d(s, c, assume_unique=True), np.setdiff1d(c, s, assume_unique=True)
+    d, both = len(new) + len(gone), len(s) + len(c)
+    tokens = np.concatenate((new, gone)).view(np.int64)
+    shared = ((100 + percent) * d + (100 - percent) * (len(c) - len(s))) // (2 * (100 + percent)) + 1
+    most = max(0, d - shared + 1)
+    if 100 * (both - d) >= percent * (both + d):
+        return True, tokens[:most], most
+    if 100 * (both - d) >= (2 * percent - 100) * (both + d):
+        return False, tokens, most
+    return False, tokens[:0], 0
+
+
+def _met(n: int, percent: int):
+    """(a, b, linked, known, tokens, most): every member compared with its centre ``a``, in the order of ``_linked``;
+    not known if the centre's doc_id has several sets."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        group, centres = None, []
+        for batch in batches:
+            out = []
+            for a, part, b, packed in zip(batch["a"].tolist(), batch["part"].tolist(), batch["id"].tolist(), batch["packed"]):
+                if (a, part) != group:
+                    group, centres = (a, part), []
+                s = shingle_set(unpack(packed).decode("utf-8", "surrogatepass"), n)
+                if b == a:
+                    centres.append(s)
+                    continue
+                met = [difference(s, c, percent) for c in centres]
+                out.append((a, b, any(m[0] for m in met), len(met) == 1, *(met[0][1:] if len(met) == 1 else ([], 0))))
+            yield pd.DataFrame(out, columns=["a", "b", "linked", "known", "tokens", "most"])
     return run
 
 
@@ -276,8 +321,22 @@ class _Join:
         some = self.docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
         return some.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInPandas(run, "id long, packed binary")
 
+    def ordered(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(a, part, id, packed text) of the pairs (a, b), a's own text first in each part."""
+        parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / self.group).alias("parts"))
+        dealt = pairs.join(parts, "a").select("a", F.col("b").alias("id"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+        centres = parts.select("a", F.col("a").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        need = written(dealt.unionByName(centres), f"{name}-need")
+        ids = written(need.select("id").distinct(), f"{name}-ids")
+        texts = self.texts_of(ids).join(need, "id")
+        return texts.select("a", "part", "id", "packed").repartition("a", "part").sortWithinPartitions(
+            "a", "part", F.col("id") != F.col("a"))
+
+    def add(self, links: DataFrame) -> None:
+        self.links = links if self.links is None else self.links.union(links)
+
     def verify(self, pairs: DataFrame, name: str) -> None:
-        """Adds the (a, b) of ``pairs``, a < b, that link: further orders first, then whole sets."""
+        """Adds the (a, b) of ``pairs`` that link: further orders first, then whole sets."""
         pairs = written(pairs.distinct(), f"{name}-pairs")
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         wanted = self.docs.sparkSession.sparkContext.broadcast(bit_filter(
@@ -288,16 +347,7 @@ class _Join:
             pairs = pairs.join(tops, side)
         pairs = pairs.filter(F.arrays_overlap("t1_a", "t1_b") & F.arrays_overlap("t2_a", "t2_b")).select("a", "b").distinct()
         pairs = written(pairs, f"{name}-kept")
-        parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / self.group).alias("parts"))
-        dealt = pairs.join(parts, "a").select("a", F.col("b").alias("id"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
-        centres = parts.select("a", F.col("a").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-        need = written(dealt.unionByName(centres), f"{name}-need")
-        ids = written(need.select("id").distinct(), f"{name}-ids")
-        texts = self.texts_of(ids).join(need, "id")
-        ordered = texts.select("a", "part", "id", "packed").repartition("a", "part").sortWithinPartitions(
-            "a", "part", F.col("id") != F.col("a"))
-        links = written(ordered.mapInPandas(_linked(self.n, self.percent), "u long, v long"), f"{name}-links")
-        self.links = links if self.links is None else self.links.union(links)
+        self.add(written(self.ordered(pairs, name).mapInPandas(_linked(self.n, self.percent), "u long, v long"), f"{name}-links"))
 
     def near(self, pa: Column, pb: Column) -> Column:
         """Length and position filter on a token common to two prefixes."""
@@ -306,13 +356,21 @@ class _Join:
                 & (F.col("n_a") * 100 >= F.col("n_b") * self.percent)
                 & (F.col("n_b") * 100 >= F.col("n_a") * self.percent))
 
-    def against_least(self, postings: DataFrame) -> DataFrame:
-        """Every member of a posting with the smallest doc_id of it: (a, b), close enough."""
-        one = postings.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("one"))
-        pairs = postings.join(one, "token").select(
+    def meet(self, postings: DataFrame, centres: DataFrame) -> DataFrame:
+        """Compares the members of postings with their centres and adds the links: (a, b, how, tokens, most) of those known,
+        how being linked, close or far."""
+        pairs = postings.join(centres, "token").select(
             F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("one.id").alias("a"),
             F.col("one.n").alias("n_a"), F.col("one.pos").alias("p_a"))
-        return pairs.filter(F.col("a") != F.col("b")).filter(self.near(F.col("p_a"), F.col("p_b"))).select("a", "b")
+        near = pairs.filter(F.col("a") != F.col("b")).filter(self.near(F.col("p_a"), F.col("p_b"))).select("a", "b")
+        star = written(near.distinct(), "star")
+        met = written(self.ordered(star, "star").mapInPandas(
+            _met(self.n, self.percent), "a long, b long, linked boolean, known boolean, tokens array<long>, most int"), "met")
+        self.add(met.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
+        # A doc_id with several sets is not known by its difference.
+        once = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first(F.struct("linked", "known", "tokens", "most")).alias("x"))
+        how = F.when(F.col("x.linked"), "linked").when(F.size("x.tokens") > 0, "close").otherwise("far")
+        return written(once.filter("c = 1 AND x.known").select("a", "b", how.alias("how"), "x.tokens", "x.most"), "known")
 
     def components(self, name: str) -> DataFrame:
         return written(connected_components(self.links), f"{name}-cc").select(F.col("node").alias("id"), "component")
@@ -324,19 +382,26 @@ class _Join:
         return written(held.join(mixed.select("token"), "token", "left_semi"), f"{name}-held")
 
     def run(self, postings: DataFrame) -> None:
-        star = written(self.against_least(postings).distinct(), "star")
-        self.verify(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
-        comp = self.components("star")
-        both = star
-        for side in ("a", "b"):
-            both = both.join(comp.toDF(side, f"c_{side}"), side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-        self.verify(both.filter("c_a <> c_b").select("a", "b"), "star")
-        held = self.apart(postings, "across")
-        side = lambda s: held.select("token", *[F.col(c).alias(f"{k}_{s}") for c, k in (
+        centres = written(postings.groupBy("token").agg(F.min(F.struct("rare", "own", "id", "n", "pos")).alias("one")), "centres")
+        known = self.meet(postings, centres)
+        held = self.apart(postings, "across").join(centres.select("token", F.col("one.id").alias("a")), "token")
+        held = held.join(known.select("a", F.col("b").alias("id"), "how"), ["a", "id"], "left").withColumn(
+            "how", F.when(F.col("id") == F.col("a"), "linked").otherwise(F.coalesce("how", F.lit("unknown"))))
+        held = written(held.drop("a"), "across-known")
+        side = lambda s, *how: held.filter(F.col("how").isin(*how)).select("token", *[F.col(c).alias(f"{k}_{s}") for c, k in (
             ("id", "id"), ("n", "n"), ("pos", "p"), ("component", "c"))])
-        pairs = side("a").join(side("b"), "token").filter(
-            (F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & self.near(F.col("p_a"), F.col("p_b")))
-        self.verify(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "across")
+        apart = (F.col("c_a") != F.col("c_b")) & self.near(F.col("p_a"), F.col("p_b"))
+        both = side("a", "far", "unknown").join(side("b", "far", "unknown"), "token").filter((F.col("id_a") < F.col("id_b")) & apart)
+        mixed = [side("a", *x).join(side("b", y), "token").filter(apart) for x, y in ((("far", "unknown"), "close"), (("unknown",), "linked"))]
+        differing = known.select("a", F.col("b").alias("id_a"), F.explode(F.slice("tokens", F.lit(1), F.col("most"))).alias("token")).join(
+            known.filter("how = 'close'").select("a", F.col("b").alias("id_b"), F.explode("tokens").alias("token")), ["a", "token"]).select("id_a", "id_b")
+        comp = self.components("differing")
+        for s in ("a", "b"):
+            differing = differing.join(comp.toDF(f"id_{s}", f"c_{s}"), f"id_{s}", "left").withColumn(f"c_{s}", F.coalesce(f"c_{s}", f"id_{s}"))
+        pairs = differing.filter("c_a <> c_b").select("id_a", "id_b")
+        for more in (both, *mixed):
+            pairs = pairs.union(more.select("id_a", "id_b"))
+        self.verify(pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")), "across")
 
 
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_rate: float | None = None,
@@ -363,7 +428,7 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, samp
     reps = written(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "top"), "representatives")
     tokens = reps.select(F.explode("top").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
     shared = context.broadcast(bit_filter(written(tokens.filter("c > 1").select("token"), "shared-tokens"), "token")[1])
-    postings = reps.mapInPandas(_postings(shared), "id long, n long, pos long, token long")
+    postings = reps.mapInPandas(_postings(shared, frequent), "id long, n long, pos long, token long, rare long, own long")
     join = _Join(docs, signed, n, percent, group)
     join.run(written(postings.distinct(), "postings"))
 
