@@ -49,7 +49,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.cut_repeats(table(spark, sf_dir, "documents"))
+    return repeats.cut_repeats(table(spark, sf_dir, "documents"), shared=True)
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,10 @@ among windows with the same anchor hash.
    twice set bits of a filter. A window that passes repeats, unless a hash found once
    has the same bit; only windows at such bits become rows, for an exact join.
 5. Windows found to repeat become byte ranges per document, merged and cut out.
+6. On demand ``n_shared`` tells of shorter strings that different rows share; it cuts nothing. Every window of
+   ``passage_of(LENGTH)`` (240) bytes picks an anchor of its own, a string of 128 bytes, and ``n_shared`` is how many
+   different ones another row has picked too (by 64-bit hash): at least 1 where a row shares 240 bytes with another row, 0 where it shares
+   no 128. Hashes found in two rows set bits of a filter; the rows' hashes that pass are joined with them.
 
 Defined results: null text has no bytes; texts under ``LENGTH`` bytes keep
 all; repeated rows are repeats of each other; a null doc_id is a row like any other;
@@ -84,41 +88,66 @@ def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, position, first window, window after the last) of each anchor of a text."""
-    hs, ps, los, his, gram = [], [], [], [], gram_of(length)
-    for base in range(0, max(0, len(data) - length + 1), STEP):
-        part = data[base: base + STEP + length - 1]
-        h = gram_hashes(part, gram)
-        # 40 bits of hash, then the position: the smallest is leftmost on ties.
-        low = (h >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
-        need, have = length - gram + 1, 1
-        while have * 2 <= need:
+def passage_of(length: int) -> int:
+    """Bytes of a passage for ``n_shared``."""
+    return length * 3 // 5
+
+
+def _smallest(h: np.ndarray, needs: tuple[int, ...]) -> Iterator[np.ndarray]:
+    """For every one of ``needs`` (ascending): the place of the smallest of that many hashes from each place on,
+    leftmost on ties."""
+    # 40 bits of hash, then the position: the smallest is leftmost on ties.
+    low, have = (h >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64), 1
+    for need in needs:
+        while have * 2 <= need and have < len(low):
             low = np.minimum(low[:-have], low[have:])
             have *= 2
+        at = low[: max(0, len(h) - need + 1)]
         if have < need:
-            low = np.minimum(low[: len(low) - (need - have)], low[need - have:])
-        at = (low & np.uint64((1 << 24) - 1)).astype(np.int64)
+            at = np.minimum(at, low[need - have:][:len(at)])
+        yield (at & np.uint64((1 << 24) - 1)).astype(np.int64)
+
+
+def scanned(data: np.ndarray, length: int, shared: bool) -> tuple[tuple, np.ndarray]:
+    """``anchors`` of a text, and if ``shared`` the different hashes of the anchors of its passages: the smallest
+    hash in each window of ``passage_of(length)`` bytes."""
+    hs, ps, los, his, found, gram = [], [], [], [], [np.zeros(0, np.uint64)], gram_of(length)
+    needs = (passage_of(length) - gram + 1, length - gram + 1) if shared else (length - gram + 1,)
+    for base in range(0, max(0, len(data) - (needs[0] + gram - 1) + 1), STEP):
+        part = data[base: base + STEP + length - 1]
+        h = gram_hashes(part, gram)
+        *passages, at = _smallest(h, needs)
+        found += [h[p[np.concatenate(([True], p[1:] != p[:-1]))]] for p in passages]
+        if not len(at):
+            continue
         start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         hs.append(h[at[start]])
         ps.append(at[start] + base)
         los.append(start + base)
         his.append(np.append(start[1:], len(at)) + base)
+    once = np.unique(np.concatenate(found))
     if not hs:
-        return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
-    return np.concatenate(hs), np.concatenate(ps), np.concatenate(los), np.concatenate(his)
+        return (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3), once
+    return tuple(map(np.concatenate, (hs, ps, los, his))), once
+
+
+def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, position, first window, window after the last) of each anchor of a text."""
+    return scanned(data, length, False)[0]
 
 
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass") if text else b"", np.uint8)
 
 
-def _count_anchors(length: int):
+def _count_anchors(length: int, shared: bool):
+    """(h, passage, c): how often an anchor's hash was found, or in how many rows a passage's."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [anchors(_bytes(t), length)[0] for t in b["text"]]
-            h, c = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            yield pd.DataFrame({"h": h.view(np.int64), "c": c.astype(np.int64)})
+            found = [scanned(_bytes(t), length, shared) for t in b["text"]]
+            for passage, hashes in ((False, [x[0] for x, _ in found]), (True, [x for _, x in found])):
+                h, c = np.unique(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), return_counts=True)
+                yield pd.DataFrame({"h": h.view(np.int64), "passage": passage, "c": c.astype(np.int64)})
     return run
 
 
@@ -131,26 +160,30 @@ def digest(ctx: bytes) -> int:
 AGAIN = 27
 
 
-def _passing(bits, text: str | None, length: int, again=None):
+def _passing(bits, text: str | None, length: int, again):
     """(bytes, hash, position, first window, window after the last) of the anchors that pass."""
     data = _bytes(text)
     h, p, lo, hi = anchors(data, length)
-    take = passes(bits.value, h)
-    if again is not None:
-        take &= passes(again.value, h >> np.uint64(AGAIN))
+    take = passes(bits.value, h) & passes(again.value, h >> np.uint64(AGAIN))
     return data.tobytes(), h[take].view(np.int64).tolist(), *[x[take].tolist() for x in (p, lo, hi)]
 
 
-def _places(bits, length: int):
-    columns = ["doc_key", "h", "lo", "n", "ch"]
+def _places(bits, passages, length: int):
+    """A row per anchor that passes; with ``passages`` a row without windows (n = 0) per text whose passages' hashes pass."""
+    columns = ["doc_key", "h", "lo", "n", "ch", "shared"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for doc, text in zip(b["doc_key"], b["text"]):
-                data, hs, _, los, his = _passing(bits, text, length)
-                for h, lo, hi in zip(hs, los, his):
-                    rows.append((doc, h, lo, hi - lo, digest(data[lo: hi + length - 1])))
+                raw = _bytes(text)
+                found, once = scanned(raw, length, passages is not None)
+                if passages is not None and len(once := once[passes(passages.value, once)]):
+                    rows.append((doc, 0, 0, 0, 0, once.view(np.int64)))
+                take = passes(bits.value, found[0])
+                data = raw.tobytes()
+                for h, lo, hi in zip(found[0][take].view(np.int64).tolist(), found[2][take].tolist(), found[3][take].tolist()):
+                    rows.append((doc, h, lo, hi - lo, digest(data[lo: hi + length - 1]), None))
                     if len(rows) >= YIELD:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
@@ -370,7 +403,7 @@ def _doubtful(bits, length: int):
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
-        for doc, text, found in zip(b["doc_id"], b["text"], b["found"]):
+        for doc, text, found, n in zip(b["doc_id"], b["text"], b["found"], b["n_shared"]):
             data = _bytes(text)
             gone = np.zeros(len(data) + 1, np.int32)
             if found is not None and len(found):
@@ -378,19 +411,24 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 np.add.at(gone, [r["b"] for r in found], -1)
             hit = np.cumsum(gone)[:-1] > 0
             out.append((doc, len(data), int(hit.sum()), len(_ranges(hit)) // 2,
-                        hashlib.sha256(data[~hit].tobytes()).hexdigest()))
-        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                        hashlib.sha256(data[~hit].tobytes()).hexdigest(), n))
+        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared"])
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int = LENGTH, shared: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """(doc_key, found): per document key the byte ranges covered by strings of
-    ``length`` bytes that also start elsewhere. ``docs``: doc_key, text."""
+    ``length`` bytes that also start elsewhere; and if ``shared`` (doc_key, n_shared). ``docs``: doc_key, text."""
     context = docs.sparkSession.sparkContext
-    counted = docs.select("text").mapInPandas(_count_anchors(length), "h long, c long")
-    repeated = written(counted.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 1").select("h"), "repeated-anchors")
+    counted = docs.select("text").mapInPandas(_count_anchors(length, shared), "h long, passage boolean, c long")
+    twice = written(counted.groupBy("h", "passage").agg(F.sum("c").alias("c")).filter("c > 1").select("h", "passage"), "repeated-anchors")
+    repeated, again = twice.filter("not passage").select("h"), twice.filter("passage").select("h")
     bits = context.broadcast(bit_filter(repeated, "h")[1])
-    held = written(docs.mapInPandas(
-        _places(bits, length), "doc_key binary, h long, lo long, n long, ch long"), "places")
+    passages = context.broadcast(bit_filter(again, "h")[1]) if shared else None
+    places = written(docs.mapInPandas(_places(bits, passages, length), "doc_key binary, h long, lo long, n long, ch long, shared array<long>"), "places")
+    held = places.filter("n > 0").drop("shared")
+    # The filter lets some hashes found in one row pass; the join does not.
+    share = written(places.filter("n = 0").select("doc_key", F.explode("shared").alias("h")).join(again, "h", "left_semi").groupBy(
+        "doc_key").agg(F.count_distinct("h").alias("n_shared")), "shared-passages") if shared else None
     unique = written(held.groupBy("h", "ch").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")), "contexts")
     per = written(unique.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "shared-anchors")
     whole = unique.filter("c > 1").select("h", "ch", F.array(F.lit(0).cast("long"), F.col("n")).alias("found"))
@@ -422,15 +460,19 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = held.select("doc_key", "h", "lo", "ch").join(marks, ["h", "ch"]).select(
         "doc_key", "lo", F.explode(pairs).alias("p"))
     return spans.groupBy("doc_key").agg(F.collect_set(F.struct(
-        (F.col("lo") + F.col("p.x")).alias("a"), (F.col("lo") + F.col("p.y") + (length - 1)).alias("b"))).alias("found"))
+        (F.col("lo") + F.col("p.x")).alias("a"), (F.col("lo") + F.col("p.y") + (length - 1)).alias("b"))).alias("found")), share
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``."""
+def cut_repeats(docs: DataFrame, length: int = LENGTH, shared: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``, and n_shared if ``shared``."""
     key = F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"),
                                  F.coalesce("text", F.lit(""))).cast("binary")))
     keyed = docs.select("doc_id", "text", key.alias("doc_key"))
-    found = written(repeated_ranges(keyed.select("doc_key", "text"), length), "repeats")
+    found, share = repeated_ranges(keyed.select("doc_key", "text"), length, shared)
+    found = written(found, "repeats")
+    joined = keyed.join(found, "doc_key", "left")
+    joined = joined.join(share, "doc_key", "left") if shared else joined.withColumn("n_shared", F.lit(0))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return keyed.join(found, "doc_key", "left").select("doc_id", "text", "found").mapInPandas(
-        _cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    out = joined.select("doc_id", "text", "found", F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared")).mapInPandas(
+        _cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long")
+    return out if shared else out.drop("n_shared")
